@@ -1,0 +1,30 @@
+"""Literal inputs with results worked out by hand (see FIXTURES.md)."""
+
+TRACK_LINES = """AL012001,            ALLISON,      4,
+20011231, 1800,  , TD, 27.5N,  94.0W,  30, 1004
+20011231, 2300, L, TS, 29.9N,  95.0W,  63, 1000
+20020101, 0000, L, HU, 30.0N,  91.0W,  64,  990
+20020101, 0600, X, ZZ, 10.0S,  20.0E, -99, -999
+AL022001,            UNNAMED,      1,
+20010701, 0000, L, HU, 28.0N,  90.0W,  83,  970
+AL032001,               IRIS,      4,
+20011008, 0000,  , HU, 17.0N,  88.0W, 113,  950
+20011009, 0000, L, HU, 16.5N,  88.5W, 137,  940
+AL042001,               NOEL,      1,
+20011105, 0000,  , HU, 35.0N,  50.0W,  96,  980
+"""
+
+NAME_LINES = """LA,F,2000,Allison,9
+LA,F,2001,Allison,10
+TX,M,2001,Allison,7
+TX,F,2001,Iris,12
+"""
+
+STATES_CSV = """State,State Code,Region,Division
+Louisiana,LA,South,West South Central
+A,AA,R,D,extra
+Texas,TX,South,West South Central
+"""
+
+# name, south, north, west, east
+BOXES = [("Louisiana", 29.0, 33.1, -94.1, -88.8), ("Texas", 25.8, 36.6, -106.7, -94.1)]
