@@ -5,7 +5,7 @@ from .analytics import (
     prepare_fact,
     top_names_by_state,
 )
-from .build import build_tables
+from .build import TABLE_PATHS, build_tables, open_table
 from .checks import (
     coordinate_check,
     landfall_completeness,
@@ -26,6 +26,7 @@ from .facts import landfall_fact, locate_landfalls, named_landfalls, names_by_st
 
 __all__ = [
     "FACT_REPORTS",
+    "TABLE_PATHS",
     "build_tables",
     "coordinate_check",
     "landfall_completeness",
@@ -38,6 +39,7 @@ __all__ = [
     "names_completeness",
     "names_dimension",
     "parse_name_lines",
+    "open_table",
     "prepare_fact",
     "states_completeness",
     "states_dimension",

@@ -108,11 +108,14 @@ STORM_STATS_SCHEMA = _struct(
     ("min_pressure_mbar", IntegerType()),
 )
 
-STATES_SCHEMA = _struct(
-    ("state", StringType()),
+NAMES_SCHEMA = _struct(
+    ("name_id", LongType()),
+    ("birth_name", StringType()),
+    ("birth_year", StringType()),
     ("state_code", StringType()),
-    ("region", StringType()),
-    ("division", StringType()),
+    ("sex", StringType()),
+    ("count", StringType()),
+    ("decade", IntegerType()),
 )
 
 # A region is one or more rings; a name with several rows has several parts.

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+COMMIT_ALGORITHM = "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version"
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Faster commit of many output files; set it back to 1 where a job may die
-    # in the middle of its commit and readers do not look for _SUCCESS.
-    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 
@@ -19,12 +17,20 @@ def create_session(
     master: str | None = None,
     conf: dict[str, str] | None = None,
     hive: bool = False,
+    fast_commit: bool = False,
 ) -> SparkSession:
-    """Get or create a session. ``conf`` entries win over the defaults above."""
+    """Get or create a session. ``conf`` entries win over the defaults above.
+
+    ``fast_commit`` moves output files when a task ends instead of when the job ends:
+    faster where renames are slow, but a job that dies leaves some of its files behind.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    settings = {**DEFAULT_CONF, **(conf or {})}
+    if fast_commit:
+        settings[COMMIT_ALGORITHM] = "2"
+    for key, value in settings.items():
         builder = builder.config(key, value)
     if hive:
         builder = builder.enableHiveSupport()

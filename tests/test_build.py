@@ -9,6 +9,7 @@ from helpers import rows
 from stormledger.operators import box_regions
 from stormledger.plans import (
     FACT_REPORTS,
+    TABLE_PATHS,
     build_tables,
     coordinate_check,
     landfall_completeness,
@@ -17,6 +18,7 @@ from stormledger.plans import (
     max_name_counts_from_dims,
     named_landfalls,
     names_completeness,
+    open_table,
     states_completeness,
     storm_completeness,
     storm_headers,
@@ -57,9 +59,10 @@ def feeds(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def tables(spark, feeds):
-    return build_tables(
+    build_tables(
         spark, feeds["tracks"], feeds["names"], feeds["states"], feeds["regions"], feeds["out"]
     )
+    return {name: open_table(spark, feeds["out"], name) for name in TABLE_PATHS}
 
 
 def test_headers(tables):

@@ -4,6 +4,9 @@
 * name lines: one per part
 * states: nations (for landfalls) or customers (for the state file formats)
 * regions: one box per nation, its north-east corner cut off
+
+The track feed and the built tables are written once per application, as the raw
+files and the stored tables are that a step of the job reads.
 """
 
 from __future__ import annotations
@@ -11,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.operators import global_row_id
-from stormledger.sources import split_lines
+from stormledger.operators.staging import scratch_path
+from stormledger.plans import build_tables, open_table
+from stormledger.sources import ingest_track_lines, read_track_csv, write_csv
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,14 +81,48 @@ def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers.unionByName(details)
 
 
-def raw_tracks(spark: SparkSession, sf_dir: str, indexed: bool = True) -> DataFrame:
-    """The split feed. Without an index ``_c0`` is NULL; enough where lines are not joined."""
-    lines = track_lines(spark, sf_dir)
-    if indexed:
-        lines = global_row_id(lines, ["block", "kind", "value"], "_c0", start=0)
-    else:
-        lines = lines.withColumn("_c0", F.lit(None).cast("bigint"))
-    return split_lines(lines.select("_c0", "value"))
+def write_track_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as a text file, its lines indexed and split, as CSV. Returns the CSV's path."""
+    text, csv = scratch_path(spark, "tracks-text"), scratch_path(spark, "tracks-csv")
+    lines = track_lines(spark, sf_dir).orderBy("block", "kind", "value")
+    lines.select("value").write.text(text)
+    write_csv(ingest_track_lines(spark, text), csv)
+    return csv
+
+
+_written: dict[tuple, str] = {}
+
+
+def _once(make, spark: SparkSession, sf_dir: str) -> str:
+    """Path of what ``make`` writes; it is written once per application and folder."""
+    key = (make.__name__, spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        _written[key] = make(spark, sf_dir)
+    return _written[key]
+
+
+def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored track feed."""
+    return read_track_csv(spark, _once(write_track_feed, spark, sf_dir))
+
+
+def write_all_tables(spark: SparkSession, sf_dir: str) -> str:
+    """The whole job. Returns the folder of the tables."""
+    out = scratch_path(spark, "tables")
+    build_tables(
+        spark,
+        raw_tracks(spark, sf_dir),
+        name_lines(spark, sf_dir),
+        nation_states(spark, sf_dir),
+        nation_regions(spark, sf_dir),
+        out,
+    )
+    return out
+
+
+def built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A stored table."""
+    return open_table(spark, _once(write_all_tables, spark, sf_dir), name)
 
 
 def name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,12 +131,13 @@ SQL = {
     "q_landfall": f"""WITH {_LINES}, {_LANDFALLS} SELECT storm_id, storm_name, storm_date, storm_time, latitude, longitude, state
       FROM located""",
     "q_landfall_ids": f"WITH {_LINES}, {_LANDFALLS} SELECT * FROM landfalls",
-    "q_fact_join": f"WITH {_FULL_FACT} SELECT * FROM fact",
+    "q_fact_join": _FACT_WITH_ID,
     "q_fact_ids": """SELECT CAST(row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR), p_name) AS BIGINT) AS bsn_id,
       CAST(p_partkey AS VARCHAR) AS name_count, CAST(p_partkey AS INTEGER) AS name_count_int FROM part""",
     "q_fact_max": f"WITH {_FULL_FACT} "
     + _MAX.format(
-        "storm_name='RED WIDGET' AND state_code='7' AND (baby_birth_year='1910' OR baby_birth_year='1911' OR baby_birth_year='1913')"
+        "storm_name='LARGE ROD' AND storm_year=2001 AND state_code='11' AND (baby_birth_year='1909' OR baby_birth_year='1910'"
+        " OR baby_birth_year='1912' OR baby_birth_year='1915')"
     )
     + " ORDER BY baby_birth_year",
     "q_fact_max_all_states": f"WITH {_FULL_FACT} "
@@ -170,8 +171,8 @@ SQL = {
     "q_top_names": f"""WITH {_ALL_NAMES}, t AS (SELECT state_code, birth_name, CAST(sum(p_partkey) AS BIGINT) AS total FROM a
       WHERE y BETWEEN 1910 AND 1940 GROUP BY ALL)
       SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY state_code ORDER BY total DESC, birth_name)<=3""",
-    "q_parquet_roundtrip": f"""WITH {_NAMES} SELECT name_count, birth_name, sex, state_code,
-      CAST(birth_year AS INTEGER) AS birth_year, decade FROM names""",
+    "q_parquet_roundtrip": """SELECT o_orderkey, o_orderpriority, o_orderstatus AS state_code,
+      CAST(year(o_orderdate) AS INTEGER) AS birth_year FROM orders""",
     "q_text_roundtrip": """SELECT c_name AS state, CAST(c_custkey AS VARCHAR) AS state_code, c_mktsegment AS region,
       CAST(c_nationkey AS VARCHAR) AS division FROM customer WHERE c_acctbal>=0""",
     "q_decades": """SELECT CAST(year(o_orderdate)//10*10 AS INTEGER) AS decade, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1""",

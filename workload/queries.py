@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from stormledger.functions import decade_of, label, signed_degrees, wind_category
 from stormledger.operators import block_join, duplicate_groups, global_row_id, missing_values
 from stormledger.operators.profile import ragged_count
-from stormledger.operators.staging import scratch_path, stage
+from stormledger.operators.staging import scratch_path
 from stormledger.plans import (
-    build_tables,
     coordinate_check,
     landfall_completeness,
     landfall_fact,
@@ -21,6 +20,7 @@ from stormledger.plans import (
     names_by_storm,
     names_completeness,
     names_dimension,
+    open_table,
     parse_name_lines,
     states_completeness,
     states_dimension,
@@ -32,7 +32,6 @@ from stormledger.plans import (
 )
 from stormledger.plans.dims import finish_names
 from stormledger.sources import (
-    ingest_track_lines,
     read_name_lines,
     read_states_csv,
     read_states_json,
@@ -45,20 +44,21 @@ from stormledger.sources import (
 )
 
 from .feeds import (
+    built,
     customer_states,
     name_lines,
     nation_regions,
-    nation_states,
     raw_tracks,
     table,
-    track_lines,
+    write_all_tables,
+    write_track_feed,
 )
 
 
 def wind_scale(spark: SparkSession, sf: str) -> DataFrame:
     """Track points per storm category, with the scale's damage text."""
     counts = (
-        storm_stats(raw_tracks(spark, sf, indexed=False))
+        storm_stats(raw_tracks(spark, sf))
         .groupBy("storm_category")
         .agg(F.count("*").alias("n"))
     )
@@ -137,55 +137,41 @@ def block_pairs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _tracks(spark: SparkSession, sf: str) -> DataFrame:
+def track_ids(spark: SparkSession, sf: str) -> DataFrame:
     raw = raw_tracks(spark, sf)
     return storm_tracks(storm_headers(raw), storm_stats(raw))
 
 
-def track_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return _tracks(spark, sf)
-
-
 def track_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Text feed written, its lines indexed and split, written as CSV and read back."""
-    text, csv = scratch_path(spark, "tracks-text"), scratch_path(spark, "tracks-csv")
-    track_lines(spark, sf).orderBy("block", "kind", "value").select("value").write.text(text)
-    write_csv(ingest_track_lines(spark, text), csv)
-    raw = read_track_csv(spark, csv)
+    raw = read_track_csv(spark, write_track_feed(spark, sf))
     return raw.select(
         F.col("_c0").cast("bigint").alias("line_id"),
         *(F.col(str(i)).alias(f"field_{i}") for i in range(9)),
     )
 
 
-def _landfall_inputs(spark: SparkSession, sf: str):
-    states_ = stage(states_dimension(nation_states(spark, sf)))
-    return _tracks(spark, sf), states_, nation_regions(spark, sf)
-
-
 def landfall_points(spark: SparkSession, sf: str) -> DataFrame:
     """Landfalls of named storms with the known state they lie in, before anything is dropped."""
-    tracks, states_, regions = _landfall_inputs(spark, sf)
-    return locate_landfalls(named_landfalls(tracks), states_, regions).select(
+    landfalls = named_landfalls(built(spark, sf, "atlantic_storms"))
+    states_ = built(spark, sf, "state_data")
+    return locate_landfalls(landfalls, states_, nation_regions(spark, sf)).select(
         "storm_id", "storm_name", "storm_date", "storm_time", "latitude", "longitude", "state"
     )
 
 
 def landfall_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return landfall_fact(*_landfall_inputs(spark, sf))
+    tracks, states_ = built(spark, sf, "atlantic_storms"), built(spark, sf, "state_data")
+    return landfall_fact(tracks, states_, nation_regions(spark, sf))
 
 
-def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    landfalls = stage(landfall_fact(*_landfall_inputs(spark, sf)))
+def fact_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Names joined with stored landfalls, and numbered."""
+    landfalls = built(spark, sf, "storms_with_us_landfall")
     names = names_dimension(name_lines(spark, sf))
     return names_by_storm(names, landfalls, wind_scale_table(spark))
 
 
-def fact_join(spark: SparkSession, sf: str) -> DataFrame:
-    """The fact without its row id."""
-    return _fact(spark, sf).drop("bsn_id")
-
-
 def fact_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Row id in the order of a count kept as text."""
     part = table(spark, sf, "part").select(
@@ -197,21 +183,26 @@ def fact_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_max(spark: SparkSession, sf: str) -> DataFrame:
-    """One storm name, year and state; three birth years (the report's shape)."""
+    """One storm name, year and state; four birth years (the report's shape)."""
     return max_name_counts(
-        _fact(spark, sf), storm_name="RED WIDGET", state_code="7", birth_years=[1910, 1911, 1913]
+        built(spark, sf, "names_by_person_and_storm"),
+        storm_name="LARGE ROD",
+        storm_year=2001,
+        state_code="11",
+        birth_years=[1909, 1910, 1912, 1915],
     )
 
 
 def fact_max_all_states(spark: SparkSession, sf: str) -> DataFrame:
-    return max_name_counts(_fact(spark, sf), birth_years=list(range(1910, 1920)))
+    fact = built(spark, sf, "names_by_person_and_storm")
+    return max_name_counts(fact, birth_years=list(range(1910, 1920)))
 
 
 def fact_max_from_dims(spark: SparkSession, sf: str) -> DataFrame:
     """The same answer without building the fact."""
-    landfalls = landfall_fact(*_landfall_inputs(spark, sf))
+    landfalls = built(spark, sf, "storms_with_us_landfall")
     names = finish_names(parse_name_lines(name_lines(spark, sf)))
-    return max_name_counts_from_dims(stage(landfalls), names, list(range(1910, 1920)))
+    return max_name_counts_from_dims(landfalls, names, list(range(1910, 1920)))
 
 
 def missing(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,7 +218,7 @@ def duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ragged(spark: SparkSession, sf: str) -> DataFrame:
-    return ragged_count(raw_tracks(spark, sf, indexed=False), "3")
+    return ragged_count(raw_tracks(spark, sf), "3")
 
 
 def check_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,13 +239,15 @@ def check_states(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_coords(spark: SparkSession, sf: str) -> DataFrame:
-    return coordinate_check(storm_stats(raw_tracks(spark, sf, indexed=False)))
+    return coordinate_check(storm_stats(raw_tracks(spark, sf)))
 
 
 def check_landfall(spark: SparkSession, sf: str) -> DataFrame:
-    tracks, states_, regions = _landfall_inputs(spark, sf)
-    landfalls = named_landfalls(tracks)
-    return landfall_completeness(landfalls, locate_landfalls(landfalls, states_, regions))
+    landfalls = named_landfalls(built(spark, sf, "atlantic_storms"))
+    located = locate_landfalls(
+        landfalls, built(spark, sf, "state_data"), nation_regions(spark, sf)
+    )
+    return landfall_completeness(landfalls, located)
 
 
 def top_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,13 +256,16 @@ def top_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Names written in one folder per state and year, and read back."""
-    path = scratch_path(spark, "names-parquet")
-    names = finish_names(parse_name_lines(name_lines(spark, sf)))
-    write_partitioned(names, path, ["state_code", "birth_year"])
-    return read_tables(spark, path).select(
-        F.col("count").alias("name_count"), "birth_name", "sex", "state_code", "birth_year", "decade"
+    """Orders written in one folder per status and year, and read back; the year comes back as int."""
+    path = scratch_path(spark, "orders-parquet")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_orderpriority",
+        F.col("o_orderstatus").alias("state_code"),
+        F.date_format("o_orderdate", "yyyy").alias("birth_year"),
     )
+    write_partitioned(orders, path, ["state_code", "birth_year"])
+    return read_tables(spark, path)
 
 
 def text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,16 +290,8 @@ def decades(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def build_all(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole job from raw feeds to written tables; returns the stored fact."""
-    built = build_tables(
-        spark,
-        stage(raw_tracks(spark, sf)),
-        name_lines(spark, sf),
-        nation_states(spark, sf),
-        nation_regions(spark, sf),
-        scratch_path(spark, "tables"),
-    )
-    return built["names_by_person_and_storm"]
+    """The whole job from the raw feeds to written tables; returns the stored fact."""
+    return open_table(spark, write_all_tables(spark, sf), "names_by_person_and_storm")
 
 
 QUERIES = {
