@@ -19,8 +19,12 @@ _SALT = "__salt"
 
 
 def within_bound(df: DataFrame, rows: int) -> bool:
-    """True if ``df`` has at most ``rows`` rows. Reads no more than it must to know."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+    """True if ``df`` has at most ``rows`` rows.
+
+    ``take`` runs over more and more partitions until it has seen enough, so a large
+    ``df`` is not scanned to its end; at most ``rows + 1`` literals reach the driver.
+    """
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 COMMIT_ALGORITHM = "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version"
+PARTITION_BYTES = 128 * 1024 * 1024
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,11 +19,14 @@ def create_session(
     conf: dict[str, str] | None = None,
     hive: bool = False,
     fast_commit: bool = False,
+    shuffle_bytes: int | None = None,
 ) -> SparkSession:
     """Get or create a session. ``conf`` entries win over the defaults above.
 
     ``fast_commit`` moves output files when a task ends instead of when the job ends:
     faster where renames are slow, but a job that dies leaves some of its files behind.
+    ``shuffle_bytes`` is what the largest shuffle moves: partitions start at about
+    128 MB each, and adaptive execution merges those that turn out small.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -30,6 +34,9 @@ def create_session(
     settings = {**DEFAULT_CONF, **(conf or {})}
     if fast_commit:
         settings[COMMIT_ALGORITHM] = "2"
+    if shuffle_bytes:
+        partitions = max(200, shuffle_bytes // PARTITION_BYTES)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     for key, value in settings.items():
         builder = builder.config(key, value)
     if hive:

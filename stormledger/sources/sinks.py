@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.joins import within_bound
 
 # Below this many rows, writing takes as long as making files, not moving rows.
-SMALL_TABLE_ROWS = 1_000_000
+SMALL_TABLE_ROWS = 100_000
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -50,3 +50,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(
         path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
+
+
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """Print the first rows of ``df``, and return them."""
+    head = df.limit(rows)
+    head.show(rows, truncate=False)
+    return head

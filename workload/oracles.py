@@ -140,6 +140,9 @@ SQL = {
         " OR baby_birth_year='1912' OR baby_birth_year='1915')"
     )
     + " ORDER BY baby_birth_year",
+    "q_fact_max_storm": f"WITH {_FULL_FACT} "
+    + _MAX.format("storm_name='HOT BOLT' AND storm_year=1999 AND baby_birth_year IN ('1906','1911','1933')")
+    + " ORDER BY baby_birth_year",
     "q_fact_max_all_states": f"WITH {_FULL_FACT} "
     + _MAX.format("CAST(baby_birth_year AS INTEGER) BETWEEN 1910 AND 1919")
     + " ORDER BY baby_birth_year",

@@ -193,6 +193,16 @@ def fact_max(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fact_max_storm(spark: SparkSession, sf: str) -> DataFrame:
+    """One storm name and year in all states; three birth years."""
+    return max_name_counts(
+        built(spark, sf, "names_by_person_and_storm"),
+        storm_name="HOT BOLT",
+        storm_year=1999,
+        birth_years=[1906, 1911, 1933],
+    )
+
+
 def fact_max_all_states(spark: SparkSession, sf: str) -> DataFrame:
     fact = built(spark, sf, "names_by_person_and_storm")
     return max_name_counts(fact, birth_years=list(range(1910, 1920)))
@@ -312,6 +322,7 @@ QUERIES = {
     "q_fact_join": fact_join,
     "q_fact_ids": fact_ids,
     "q_fact_max": fact_max,
+    "q_fact_max_storm": fact_max_storm,
     "q_fact_max_all_states": fact_max_all_states,
     "q_fact_max_from_dims": fact_max_from_dims,
     "q_missing": missing,
