@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from .joins import bounded_broadcast
 from .staging import stage
 
+# A row per split of a text scan, slim enough to broadcast a million of them (some 200 MB).
+# Past that, raise spark.sql.files.maxPartitionBytes or pay for a shuffle of the lines.
+BROADCAST_SPLITS = 1_000_000
+
 _PART, _FILE, _BLOCK, _POS, _SHIFT = "__part", "__file", "__block", "__pos", "__shift"
 
 
@@ -60,7 +64,7 @@ def global_row_id(
 def number_lines(lines: DataFrame, id_col: str = "_c0", start: int = 0) -> DataFrame:
     """Line index over a text scan, in file and line order, skipping empty lines.
 
-    ``lines`` comes straight from ``spark.read.text``. No shuffle of the lines.
+    ``lines`` comes straight from ``spark.read.text``. The lines are not shuffled.
     """
     laid_out = (
         lines.select(
@@ -71,4 +75,5 @@ def number_lines(lines: DataFrame, id_col: str = "_c0", start: int = 0) -> DataF
         .where(F.col("value") != "")
         .withColumn(_POS, F.monotonically_increasing_id())
     )
-    return _number_parts(stage(laid_out, "lines"), [_FILE, _BLOCK], id_col, start, bounded_broadcast)
+    hint = lambda shifts: bounded_broadcast(shifts, BROADCAST_SPLITS)
+    return _number_parts(stage(laid_out, "lines"), [_FILE, _BLOCK], id_col, start, hint)

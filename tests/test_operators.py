@@ -267,3 +267,79 @@ def test_count_check(spark):
     a, b = spark.range(3), spark.range(4)
     assert tuple(count_check("x", [a, b], [spark.range(7)]).first()) == ("x", 7, 7, True)
     assert tuple(count_check("x", [a], [b]).first()) == ("x", 3, 4, False)
+
+
+# ------------------------------------------------------------- sinks, plans
+def test_large_folder_is_split_and_small_ones_are_not(spark, tmp_path):
+    from stormledger.sources import write_partitioned
+
+    df = spark.range(0, 200_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 20).cast("string")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(conf, "1MB")
+    try:
+        write_partitioned(df, str(tmp_path / "t"), ["k"])
+    finally:
+        spark.conf.unset(conf)
+    files = {f.name: len(list(f.glob("*.parquet"))) for f in (tmp_path / "t").glob("k=*")}
+    assert files["k=hot"] > 2 and len(files) == 21
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 200_000 and back.where("k = 'hot'").count() == 66_667
+
+
+def test_report_filters_reach_the_scan(spark, tmp_path):
+    from stormledger.plans import max_name_counts
+    from stormledger.plans.facts import FACT_COLUMNS
+
+    path = str(tmp_path / "fact")
+    spark.range(5).select(
+        *(F.col("id").cast("int" if c == "storm_year" else "string").alias(c) for c in FACT_COLUMNS)
+    ).write.parquet(path)
+    fact = spark.read.parquet(path)
+    for asked, pushed in [
+        ({"storm_name": "1"}, "EqualTo(storm_name,1)"),
+        ({"storm_year": 1}, "EqualTo(storm_year,1)"),
+        ({"state_code": "1"}, "EqualTo(state_code,1)"),
+        ({"birth_years": [1]}, "EqualTo(baby_birth_year,1)"),
+        ({"birth_years": [1, 2]}, "In(baby_birth_year, [1,2])"),
+    ]:
+        plan = nodes(max_name_counts(fact, **asked))
+        assert pushed in plan[plan.index("PushedFilters") :] and "swl_id" not in plan
+
+
+def test_top_names_cut_groups_before_the_shuffle(spark):
+    from stormledger.plans import top_names_by_state
+
+    names = spark.createDataFrame([("LA", "A", "2000", "3")], "state_code string, birth_name string, birth_year string, count string")
+    plan = nodes(top_names_by_state(names, 1999, 2001, 3))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_session_builder_joins_the_running_session(spark):
+    from stormledger.session import COMMIT_ALGORITHM, create_session
+
+    assert create_session(fast_commit=True, shuffle_bytes=2**40).sparkContext is spark.sparkContext
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert spark.conf.get(initial) == "8192" and spark.conf.get(COMMIT_ALGORITHM) == "2"
+    finally:
+        spark.conf.unset(initial)
+        spark.conf.unset(COMMIT_ALGORITHM)
+
+
+def test_preview(spark, capfd):
+    from stormledger.sources import preview
+
+    assert preview(spark.range(10), 3).count() == 3
+
+
+def test_region_file(spark, tmp_path):
+    from stormledger.sources import read_regions
+
+    ring = '[{"lat":0,"lon":0},{"lat":0,"lon":2},{"lat":2,"lon":0}]'
+    (tmp_path / "r.json").write_text(f'{{"state":"T","ring":{ring}}}\n')
+    pts = spark.createDataFrame([(0.5, 0.5), (1.5, 1.5)], "latitude double, longitude double")
+    got = locate_points(pts, read_regions(spark, str(tmp_path / "r.json")))
+    assert rows(got, "latitude", "state") == [(0.5, "T"), (1.5, None)]
