@@ -32,6 +32,16 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if within_bound(df, rows) else df
 
 
+def spread_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Spread a small ``df`` over all cores; a large one has tasks enough and stays where it is.
+
+    For the input of a join that multiplies rows: few rows in one task may be many rows out.
+    """
+    if not within_bound(df, rows):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def hot_keys(df: DataFrame, key: str, parts: int) -> list:
     """Keys that hold more than 1/``parts`` of all rows: by that, fewer than ``parts``.
 

@@ -93,17 +93,20 @@ def write_track_feed(spark: SparkSession, sf_dir: str) -> str:
 _written: dict[tuple, str] = {}
 
 
-def _once(make, spark: SparkSession, sf_dir: str) -> str:
-    """Path of what ``make`` writes; it is written once per application and folder."""
+def stored(make, spark: SparkSession, sf_dir: str, anew: bool = False) -> str:
+    """Path of what ``make`` writes; later calls in the same application get the same path.
+
+    ``anew``: write it again, and hand that out from now on.
+    """
     key = (make.__name__, spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
+    if anew or key not in _written:
         _written[key] = make(spark, sf_dir)
     return _written[key]
 
 
 def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored track feed."""
-    return read_track_csv(spark, _once(write_track_feed, spark, sf_dir))
+    return read_track_csv(spark, stored(write_track_feed, spark, sf_dir))
 
 
 def write_all_tables(spark: SparkSession, sf_dir: str) -> str:
@@ -122,7 +125,7 @@ def write_all_tables(spark: SparkSession, sf_dir: str) -> str:
 
 def built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stored table."""
-    return open_table(spark, _once(write_all_tables, spark, sf_dir), name)
+    return open_table(spark, stored(write_all_tables, spark, sf_dir), name)
 
 
 def name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
