@@ -1,6 +1,7 @@
 """The whole job on the literal fixtures."""
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -227,3 +228,26 @@ def test_short_name_line(spark, tmp_path):
 def test_short_csv_line_is_kept(spark, tmp_path):
     (tmp_path / "s.csv").write_text("State,State Code,Region,Division\nA,AA,R,D,extra\nB,BB\n")
     assert rows(read_states_csv(spark, str(tmp_path / "s.csv"))) == [("B", "BB", None, None)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_honest_feed_comes_through_whole(spark, tmp_path, seed):
+    """Headers that count right: every line is a header or one track row, in feed order."""
+    from stormledger.plans import storm_tracks
+
+    rnd = random.Random(seed)
+    lines, want = [], []
+    for storm in range(40):
+        n = rnd.choice([0, 1, 2, 30, 70])
+        lines.append(f"AL{storm:02d}{1950 + storm}, NAME{storm}, {n},")
+        for _ in range(n):
+            wind = rnd.randrange(200)
+            lines.append(f"20010101, 0000, , HU, 1.0N, 1.0E, {wind}, 990")
+            want.append((f"AL{storm:02d}{1950 + storm}", f"NAME{storm}", wind))
+    (tmp_path / "t.txt").write_text("\n".join(lines))
+    raw = ingest_track_lines(spark, str(tmp_path / "t.txt"))
+    headers = storm_headers(raw)
+    tracks = storm_tracks(headers, storm_stats(raw))
+    got = tracks.orderBy("atl_id").select("storm_id", "storm_name", "max_sustained_wind_kt")
+    assert [tuple(r) for r in got.collect()] == want
+    assert storm_completeness(raw, headers, tracks).first().passed

@@ -1,5 +1,6 @@
 """Each operator against brute force, with its bounds forced both ways."""
 
+import gzip
 import math
 import random
 
@@ -73,6 +74,10 @@ def test_line_numbers_across_files_and_splits(spark, tmp_path):
         lines = [f"{name}-{i}" for i in range(3000)]
         (tmp_path / name).write_text("\n\n".join(lines) + "\n")
         want += lines
+    packed = [f"d-{i}" for i in range(500)]
+    with gzip.open(tmp_path / "d.txt.gz", "wt") as f:
+        f.write("\r\n".join(packed))
+    want += packed
     conf = "spark.sql.files.maxPartitionBytes"
     spark.conf.set(conf, "4096")
     try:
@@ -80,7 +85,7 @@ def test_line_numbers_across_files_and_splits(spark, tmp_path):
     finally:
         spark.conf.unset(conf)
     assert [r.value for r in sorted(got, key=lambda r: r.i)] == want
-    assert sorted(r.i for r in got) == list(range(9000))
+    assert sorted(r.i for r in got) == list(range(9500))
 
 
 # --------------------------------------------------------------- block join
