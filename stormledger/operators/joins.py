@@ -1,21 +1,23 @@
 """Equi-joins whose plan does not hang on luck.
 
 ``skew_safe_join`` broadcasts the side that should be small only after counting
-it up to a bound. Beyond the bound it shuffles, and spreads hot keys by salt.
+it up to a bound. Beyond the bound it shuffles, and hot keys are cut into a grid:
+the rows of one side into salts, those of the other into chunks.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 # A few hundred bytes per row keeps a broadcast within some tens of megabytes.
 BROADCAST_ROWS = 200_000
+# A key with more rows than this on the broadcast side multiplies its partners too much for one task.
+FAN_OUT = 1_000
 SALTS = 64
 
-_SALT = "__salt"
+_SALT, _CHUNK = "__salt", "__chunk"
 
 
 def within_bound(df: DataFrame, rows: int) -> bool:
@@ -47,9 +49,12 @@ def hot_keys(df: DataFrame, key: str, parts: int) -> list:
 
     Counted with a map-side combine; only those few keys reach the driver.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    limit = df.count() / parts
-    return [row[0] for row in counts.where(F.col("count") > limit).select(key).collect()]
+    return list(_keys_above(df, key, df.count() / parts))
+
+
+def _keys_above(df: DataFrame, key: str, limit: float) -> dict:
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+    return {row[0]: row[1] for row in counts.where(F.col("__n") > limit).collect()}
 
 
 def skew_safe_join(
@@ -59,32 +64,59 @@ def skew_safe_join(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Join ``left`` (large, may be skewed) with ``right`` on a column both have.
 
     ``how``: inner, left, left_semi or left_anti. Same rows as a plain join.
+
+    ``right`` within ``broadcast_rows`` is broadcast and ``left`` stays where it is. Only the
+    rows of keys with more than ``fan_out`` partners are shuffled (an inner join; there are
+    at most ``broadcast_rows / fan_out`` such keys), so that no task multiplies its rows by thousands.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how in ("left_semi", "left_anti"):
+        right = right.select(on).distinct()
+    elif how not in ("inner", "left"):
         raise ValueError(f"unsupported join: {how}")
     if within_bound(right, broadcast_rows):
-        return left.join(F.broadcast(right), on, how)
+        wide = _keys_above(right, on, fan_out) if how == "inner" else {}
+        if not wide:
+            return left.join(F.broadcast(right), on, how)
+        is_wide = F.coalesce(F.col(on).isin(list(wide)), F.lit(False))
+        narrow = left.where(~is_wide).join(F.broadcast(right.where(~is_wide)), on)
+        chunks = -(-max(wide.values()) // fan_out)
+        return narrow.unionByName(
+            _grid_join(left.where(is_wide), right.where(is_wide), on, how, list(wide), salts, chunks)
+        )
     hot = hot_keys(left, on, salts)
-    if not hot:
+    hot_right = hot_keys(right, on, salts) if how == "inner" else []
+    if not hot and not hot_right:
         return left.join(right, on, how)
-    return _salted_join(left, right, on, how, hot, salts)
+    return _grid_join(
+        left, right, on, how, list({*hot, *hot_right}), salts, salts if hot_right else 1
+    )
 
 
-def _salted_join(left, right, on, how, hot, salts):
-    is_hot = reduce(Column.__or__, (F.col(on) == F.lit(key) for key in hot))
-    # The salt is a task's partition number: whole copies of a row spread as well as
-    # any rows, and a retried task gives its rows the same salt again.
-    salted = left.withColumn(
-        _SALT, F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
-    )
-    spread = right.withColumn(
-        _SALT,
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+def _slot(df: DataFrame, slots: int) -> Column:
+    """A number below ``slots`` for a row.
+
+    It differs between rows of a task by their values, and between copies of a row by
+    their tasks. A retried task gives its rows the same numbers again.
+    """
+    values = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return F.pmod(F.xxhash64(*values) + F.spark_partition_id(), F.lit(slots)).cast("int")
+
+
+def _grid_join(left, right, on, how, hot, salts, chunks):
+    """Left rows of a ``hot`` key go to one of ``salts`` rows of a grid, right rows to one of
+    ``chunks`` columns; each is repeated along the other axis, so every pair meets once.
+    With more than one chunk, for inner joins only.
+    """
+    is_hot = F.col(on).isin(hot)
+    along = lambda n: F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     )
-    return salted.join(spread, [on, _SALT], how).drop(_SALT)
+    one_of = lambda df, n: F.when(is_hot, _slot(df, n)).otherwise(0)
+    left = left.withColumn(_SALT, one_of(left, salts)).withColumn(_CHUNK, along(chunks))
+    right = right.withColumn(_CHUNK, one_of(right, chunks)).withColumn(_SALT, along(salts))
+    return left.join(right, [on, _SALT, _CHUNK], how).drop(_SALT, _CHUNK)

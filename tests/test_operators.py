@@ -115,14 +115,15 @@ def test_block_join_is_an_equi_join(spark):
 
 # -------------------------------------------------------------------- joins
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("bound", [1_000_000, 3])
-def test_skew_safe_join_equals_plain_join(spark, how, bound):
+@pytest.mark.parametrize("bound, fan_out", [(1_000_000, 1_000_000), (1_000_000, 50_000), (400, 20), (3, 1)])
+def test_skew_safe_join_equals_plain_join(spark, how, bound, fan_out):
     rnd = random.Random(3)
-    left = [(rnd.choice(["hot", "hot", "hot", None, *"abcdefgh"]), i) for i in range(3000)]
-    right = [(k, i) for i in range(2) for k in ["hot", "a", "b", "z", None]]
+    left = [(rnd.choice(["hot", "hot", "hot", None, *"abcdefgh"]), i % 500) for i in range(1500)]
+    # a key hot on both sides, with copies on both, a key with two rows, keys on one side only
+    right = [(k, i) for i in range(2) for k in ["a", "b", "z", None]] + [("hot", i // 3) for i in range(60)]
     a = spark.createDataFrame(left, "k string, v int").repartition(6)
-    b = spark.createDataFrame(right, "k string, w int")
-    got = skew_safe_join(a, b, "k", how, broadcast_rows=bound, salts=8)
+    b = spark.createDataFrame(right, "k string, w int").repartition(3)
+    got = skew_safe_join(a, b, "k", how, broadcast_rows=bound, salts=8, fan_out=fan_out)
     want = a.join(b, "k", how)
     assert rows(got) == rows(want) and got.columns == want.columns
 
@@ -132,20 +133,22 @@ def test_hot_keys_are_few_and_right(spark):
     assert hot_keys(df, "k", 16) == [0]
 
 
-def test_salted_join_spreads_the_hot_key(spark):
-    from stormledger.operators.joins import _salted_join
+@pytest.mark.parametrize("salts, chunks", [(16, 1), (8, 8)])
+def test_grid_join_spreads_the_hot_key(spark, salts, chunks):
+    from stormledger.operators.joins import _grid_join
 
-    a = spark.range(0, 40_000, 1, 16).select(F.lit("hot").alias("k"), "id")
-    b = spark.createDataFrame([("hot", 1)], "k string, w int")
+    # Copies of one row on the left.
+    a = spark.range(0, 4_000, 1, 16).select(F.lit("hot").alias("k"), F.lit(0).alias("v"))
+    b = spark.range(0, 100, 1, 4).select(F.lit("hot").alias("k"), F.col("id").alias("w"))
     for conf in ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]:
         spark.conf.set(conf, "false" if conf.endswith("enabled") else "-1")
     try:
-        joined = _salted_join(a, b, "k", "inner", ["hot"], 16)
+        joined = _grid_join(a, b, "k", "inner", ["hot"], salts, chunks)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 40_000 and max(sizes) <= 20_000 and len(sizes) > 2
+    assert sum(sizes) == 400_000 and max(sizes) <= 200_000 and len(sizes) > 2
 
 
 # ------------------------------------------------------------------ regions

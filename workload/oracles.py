@@ -136,8 +136,8 @@ SQL = {
       CAST(p_partkey AS VARCHAR) AS name_count, CAST(p_partkey AS INTEGER) AS name_count_int FROM part""",
     "q_fact_max": f"WITH {_FULL_FACT} "
     + _MAX.format(
-        "storm_name='LARGE ROD' AND storm_year=2001 AND state_code='11' AND (baby_birth_year='1909' OR baby_birth_year='1910'"
-        " OR baby_birth_year='1912' OR baby_birth_year='1915')"
+        "storm_name='HOT RING' AND storm_year=2001 AND state_code='7' AND (baby_birth_year='1903' OR baby_birth_year='1904'"
+        " OR baby_birth_year='1906' OR baby_birth_year='1910')"
     )
     + " ORDER BY baby_birth_year",
     "q_fact_max_storm": f"WITH {_FULL_FACT} "

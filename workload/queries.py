@@ -187,10 +187,10 @@ def fact_max(spark: SparkSession, sf: str) -> DataFrame:
     """One storm name, year and state; four birth years (the report's shape)."""
     return max_name_counts(
         built(spark, sf, "names_by_person_and_storm"),
-        storm_name="LARGE ROD",
+        storm_name="HOT RING",
         storm_year=2001,
-        state_code="11",
-        birth_years=[1909, 1910, 1912, 1915],
+        state_code="7",
+        birth_years=[1903, 1904, 1906, 1910],
     )
 
 
