@@ -325,6 +325,20 @@ def test_top_names_cut_groups_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_top_names_with_a_large_k(spark, monkeypatch):
+    from stormledger.plans import analytics
+
+    names = spark.range(400).select(
+        (F.col("id") % 3).cast("string").alias("state_code"),
+        F.concat(F.lit("N"), F.col("id") % 90).alias("birth_name"),
+        F.lit("2000").alias("birth_year"),
+        (F.col("id") % 7).cast("string").alias("count"),
+    )
+    want = rows(analytics.top_names_by_state(names, 1999, 2001, 20))
+    monkeypatch.setattr(analytics, "PLANNED_LIMIT", 5)
+    assert rows(analytics.top_names_by_state(names, 1999, 2001, 20)) == want and len(want) == 60
+
+
 def test_session_builder_joins_the_running_session(spark):
     from stormledger.session import COMMIT_ALGORITHM, create_session
 
