@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.profile import count_check
+from .dims import state_rows
 
 
 def storm_completeness(raw: DataFrame, headers: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -18,7 +19,8 @@ def names_completeness(raw: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def states_completeness(raw: DataFrame, states: DataFrame) -> DataFrame:
-    return count_check("states", [raw], [states])
+    """Every state record is in the table; a header line among the data is none."""
+    return count_check("states", [state_rows(raw)], [states])
 
 
 def coordinate_check(tracks: DataFrame) -> DataFrame:

@@ -70,15 +70,20 @@ def names_dimension(lines: DataFrame) -> DataFrame:
     return finish_names(global_row_id(parsed, order, "name_id")).select(*NAME_COLUMNS)
 
 
-def states_dimension(raw: DataFrame) -> DataFrame:
-    """State table, without a header line that came along as data."""
+def state_rows(raw: DataFrame) -> DataFrame:
+    """State records under their column names, without a header line that came along as data."""
     renamed = raw.withColumnsRenamed(
         {"State": "state", "State Code": "state_code", "Region": "region", "Division": "division"}
     )
     is_header = (F.lower("state") == "state") & F.lower("state_code").isin("state code", "state_code")
-    kept = renamed.where(~F.coalesce(is_header, F.lit(False))).withColumn("__place", scan_position())
+    return renamed.where(~F.coalesce(is_header, F.lit(False)))
+
+
+def states_dimension(raw: DataFrame) -> DataFrame:
+    """State table, numbered by name and code."""
+    placed = state_rows(raw).withColumn("__place", scan_position())
     order = ["state", "state_code", "region", "division", "__place"]
-    return global_row_id(kept, order, "state_id").select(
+    return global_row_id(placed, order, "state_id").select(
         "state_id", "state_code", "state", "region", "division"
     )
 

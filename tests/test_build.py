@@ -198,7 +198,9 @@ def test_states_header_as_data(spark, tmp_path):
         '{"state":"Texas","state_code":"TX","region":"South","division":"West South Central"}]'
     )
     raw = read_states_json(spark, str(path), ["state", "state_code", "region", "division"])
-    assert rows(states_dimension(raw)) == [(1, "TX", "Texas", "South", "West South Central")]
+    states = states_dimension(raw)
+    assert rows(states) == [(1, "TX", "Texas", "South", "West South Central")]
+    assert tuple(states_completeness(raw, states).first()) == ("states", 1, 1, True)
 
 
 def test_dirty_lines(spark, tmp_path):

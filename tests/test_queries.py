@@ -21,3 +21,23 @@ def test_query(spark, con, sf_dir, name):
         spark, con, spark_entry.queries()[name], spark_entry.oracle_sql()[name], sf_dir
     )
     assert not problems
+
+
+@pytest.mark.parametrize("name", ["q_block_join", "q_track_ids", "q_landfall_ids", "q_fact_join"])
+def test_query_without_help_from_the_planner(spark, con, sf_dir, name):
+    """Shuffle joins, no adaptive execution, no ANSI mode: same results."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.ansi.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        problems, _, _ = compare(
+            spark, con, spark_entry.queries()[name], spark_entry.oracle_sql()[name], sf_dir
+        )
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert not problems
