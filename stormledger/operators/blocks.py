@@ -30,13 +30,19 @@ def block_join(
     cells of candidate pairs per header fail the range test. No cell holds more
     lines than its width, so no key of the join is hot. A block is cut into chunks
     of ``chunk_cells`` cells before it is cut into cells, so that even a block of
-    most of the feed is spread over many tasks.
+    most of the feed is spread over many tasks. No block is cut beyond the feed's last
+    line, whatever its header claims; finding that line reads one column of ``details``.
     """
-    last_line = F.col(header_id) + F.col(entries)
-    bounds = headers.where(F.col(entries) >= 0).select(
-        "*",
-        F.shiftright(header_id, cell_bits).alias(_FIRST),
-        F.shiftright(last_line, cell_bits).alias(_LAST),
+    last_line = F.coalesce(F.try_add(header_id, entries), F.lit(2**63 - 1))
+    feed_end = details.agg(F.coalesce(F.max(line_id), F.lit(-1))).scalar()
+    bounds = (
+        headers.where(F.col(entries) >= 0)
+        .select(
+            "*",
+            F.shiftright(header_id, cell_bits).alias(_FIRST),
+            F.shiftright(F.least(last_line, feed_end), cell_bits).alias(_LAST),
+        )
+        .where(F.col(_FIRST) <= F.col(_LAST))
     )
     chunks = bounds.withColumn(
         _CHUNK,

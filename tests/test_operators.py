@@ -107,6 +107,16 @@ def test_block_join_equals_range_test(spark, cell_bits, chunk_cells):
     assert got == want
 
 
+def test_block_join_survives_absurd_entries(spark):
+    h = spark.createDataFrame([(0, 10**15), (7, 3), (98, 2**63 - 1), (500, 10**15)], "header_id bigint, entries bigint")
+    d = spark.createDataFrame([(i,) for i in range(1, 100) if i != 7], "stat_id bigint")
+    got = rows(block_join(h, d), "header_id", "stat_id")
+    assert got == [(0, i) for i in range(1, 100) if i != 7] + [(7, 8), (7, 9), (7, 10)] + [
+        (98, 98), (98, 99)
+    ]
+    assert block_join(h, d.limit(0)).count() == 0
+
+
 def test_block_join_is_an_equi_join(spark):
     h = spark.range(10).select((F.col("id") * 10).alias("header_id"), F.lit(9).cast("bigint").alias("entries"))
     plan = nodes(block_join(h, spark.range(100).toDF("stat_id")))
