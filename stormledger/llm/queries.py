@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, warc
-from .common import bounded_batches, table
+from . import bpe, chat, langid, quality, warc
+from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -22,6 +22,23 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(messages))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = langid.train(docs, ~out)
+    return langid.classify(docs.select("doc_id", "text", out.alias("held_out")), model).drop("text")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = quality.score(docs.select("doc_id", "text", out.alias("held_out")), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,7 +53,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_chat": op2_chat, "op7_bpe": op7_bpe, "op10_warc": op10_warc}
+QUERIES = {"op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op7_bpe": op7_bpe, "op10_warc": op10_warc}
 
 SQL = {
     "op2_chat": r"""
