@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, quality, warc
+from . import bpe, chat, langid, quality, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -39,6 +39,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = toxicity.score(docs.select("doc_id", "text", out.alias("held_out")), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,7 +62,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op7_bpe": op7_bpe, "op10_warc": op10_warc}
+QUERIES = {"op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op7_bpe": op7_bpe, "op10_warc": op10_warc}
 
 SQL = {
     "op2_chat": r"""
