@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, quality, toxicity, warc
+from . import bpe, chat, langid, minhash, quality, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -62,9 +67,33 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op7_bpe": op7_bpe, "op10_warc": op10_warc}
+QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op7_bpe": op7_bpe, "op10_warc": op10_warc}
 
 SQL = {
+    "op1_minhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+            FROM w
+        ), e AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+        n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM s),
+        p AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+            FROM e x JOIN e y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+        ), l AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * common >= 80 * (x.n_shingles + y.n_shingles - common)
+        ), r AS (
+            SELECT doc_id, doc_id AS reached FROM n
+            UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached
+        ), c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+        SELECT n.doc_id, n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
+    """,
     "op2_chat": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
