@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, minhash, quality, toxicity, warc
+from . import bpe, chat, langid, minhash, quality, suffixes, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -59,6 +59,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs).drop("text")
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return suffixes.removal_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     index = warc.write_archives(warc.mark_revisits(table(spark, sf_dir, "pages")))
@@ -67,7 +72,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op7_bpe": op7_bpe, "op10_warc": op10_warc}
+QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op7_bpe": op7_bpe, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc}
 
 SQL = {
     "op1_minhash": r"""
