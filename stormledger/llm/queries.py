@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, minhash, quality, suffixes, toxicity, warc
+from . import bpe, chat, langid, minhash, permutation, quality, suffixes, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -53,6 +53,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op6_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    vectors = table(spark, sf_dir, "embeddings")
+    return permutation.nearest(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,7 +78,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op7_bpe": op7_bpe, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc}
+QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc}
 
 SQL = {
     "op1_minhash": r"""
