@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, minhash, permutation, quality, suffixes, toxicity, warc
+from . import bpe, chat, decontam, langid, minhash, permutation, quality, suffixes, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -65,6 +65,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs).drop("text")
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return suffixes.removal_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -78,7 +83,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc}
+QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op8_decontam": op8_decontam, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc}
 
 SQL = {
     "op1_minhash": r"""
