@@ -1,18 +1,23 @@
 """Written intermediate tables in the cluster's shared folder.
 
 A staged table cuts lineage: what is read back is fixed, whatever executors are
-lost later. Like Spark's own checkpoint files, staged tables stay until whoever
-owns the folder expires them.
+lost later. ``discard`` deletes one as soon as nothing reads it any more; tables behind a
+result that is not computed yet stay, like Spark's own checkpoint files, until
+whoever owns the folder expires them.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_paths: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a fresh temporary folder in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -34,4 +39,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[staged] = path
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a table that ``stage`` returned. Nothing that is still to be computed may read it."""
+    path = _paths.pop(staged, None)
+    if path:
+        spark = staged.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
