@@ -4,9 +4,11 @@ A document is the set of its distinct word shingles (64-bit hashes). Documents o
 go on as one representative. The sketch has ``BANDS * ROWS`` coordinates: in each round every
 shingle is thrown into one bin, which keeps the smallest value of the first round that reached it; the
 last rounds throw all shingles into one bin after the other, so that every coordinate fills.
-Documents that agree in a whole band meet in a bucket. A bucket's smallest id is compared with
-every other member, then members of other components with all members that are not in theirs, so
-that no pair of a bucket is left out but those that are connected already.
+Documents that agree in a whole band meet in a bucket. The member of a bucket with the most
+encounters over all buckets is compared with every other member. Where a bucket still holds several
+components, its members outside the hub's component meet all members of other components, in blocks of bounded
+size inside tasks that return only links that connect something new. So no pair of a
+bucket is left out but those that are connected already, and pairs are not written out.
 Candidates are confirmed on their full sets.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**6)**40, about 5e-6.
@@ -32,6 +34,8 @@ BANDS = 40
 ROWS = 6
 WORDS = 5
 PERCENT = 80
+BLOCK = 1024
+COLUMNS = 4096
 
 LOWER = np.arange(256, dtype=np.uint64)
 LOWER[65:91] += np.uint64(32)
@@ -190,6 +194,99 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
     return joined.mapInArrow(run, "a long, b long")
 
 
+def verify_rest(placed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components that share a bucket.
+
+    ``placed``: (key, id, hub, c), the members of every bucket and their components so far.
+    """
+    of_hub = placed.where("id = hub").select("key", F.col("c").alias("hub_c"))
+    rows = placed.join(of_hub, "key").withColumn("outside", F.col("c") != F.col("hub_c"))
+    blocks = (
+        rows.groupBy("key")
+        .agg(
+            F.ceil(F.sum(F.when(F.col("outside"), 1).otherwise(0)) / BLOCK).cast("int").alias("nx"),
+            F.ceil(F.count("*") / BLOCK).cast("int").alias("ny"),
+            F.count("*").alias("n"),
+        )
+        .where("nx > 0 AND n > 2")
+    )
+    rows = rows.where("id <> hub").join(blocks, "key")
+    slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asks = rows.where("outside").select("key", "id", "c", slot("nx").alias("x"), every("ny").alias("y"), F.lit(0).alias("side"))
+    told = rows.select("key", "id", "c", every("nx").alias("x"), slot("ny").alias("y"), F.lit(1).alias("side"))
+    both = asks.unionByName(told).join(docs.withColumnRenamed("doc_id", "id"), "id")
+    ordered = both.select("key", "x", "y", "side", "id", "c", "text").repartition("key", "x", "y")
+    ordered = ordered.sortWithinPartitions("key", "x", "y", "side", "id")
+
+    def solve(held: tuple[list, list]) -> pa.RecordBatch:
+        sets = []
+        for side in held:
+            data, ends = text_bytes(pa.array([r[2] for r in side], pa.string()))
+            sets.append(shingle_sets(data, ends, words))
+        x, y = ([(r[0], r[1]) for r in side] for side in held)
+        found = new_links(x, y, similar(*sets, percent))
+        return pa.RecordBatch.from_pydict(
+            {"a": pa.array([min(p) for p in found], pa.int64()), "b": pa.array([max(p) for p in found], pa.int64())}
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, ([], [])
+        for whole in batches:
+            for r in zip(*(whole.column(i).to_pylist() for i in range(whole.num_columns))):
+                if r[:3] != group:
+                    if held[0] and held[1]:
+                        yield solve(held)
+                    group, held = r[:3], ([], [])
+                held[r[3]].append(r[4:])
+        if held[0] and held[1]:
+            yield solve(held)
+
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def similar(x: tuple, y: tuple, percent: int) -> np.ndarray:
+    """Which sets of ``x`` and ``y`` are similar enough, as a matrix; counts by products of presence matrices."""
+    (xs, x_stop), (ys, y_stop) = x, y
+    nx, ny = np.diff(np.concatenate([[0], x_stop])), np.diff(np.concatenate([[0], y_stop]))
+    vocabulary = np.intersect1d(xs, ys)
+    common = np.zeros((len(nx), len(ny)), np.float32)
+    places = []
+    for s, n in ((xs, nx), (ys, ny)):
+        at = np.searchsorted(vocabulary, s)
+        known = vocabulary[np.minimum(at, max(len(vocabulary) - 1, 0))] == s if len(vocabulary) else np.zeros(len(s), bool)
+        places.append((np.repeat(np.arange(len(n)), n)[known], at[known]))
+    for start in range(0, len(vocabulary), COLUMNS):
+        parts = []
+        for (row, col), n in zip(places, (nx, ny)):
+            here = (col >= start) & (col < start + COLUMNS)
+            part = np.zeros((len(n), min(COLUMNS, len(vocabulary) - start)), np.float32)
+            part[row[here], col[here] - start] = 1
+            parts.append(part)
+        common += parts[0] @ parts[1].T
+    same = np.rint(common).astype(np.int64)
+    union = nx[:, None] + ny[None, :] - same
+    return (100 * same >= percent * union) & (nx[:, None] > 0) & (ny[None, :] > 0)
+
+
+def new_links(x: list, y: list, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Of the linked (id, component) pairs those that connect what is not connected yet."""
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(linked)):
+        a, b = find(x[i][1]), find(y[j][1])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((x[i][0], y[j][0]))
+    return out
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): every linked id and the smallest id reachable, by alternating star contraction.
 
@@ -235,27 +332,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
     member = stage(member, "members")
     in_band = member.where(usable & F.col("bands").isNotNull()).select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
-    buckets = in_band.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top").drop("top")
+    buckets = in_band.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("top")).where("low < top").select("key")
     met = stage(in_band.join(buckets, "key"), "buckets")  # every member of every bucket of two or more
     involved = met.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
 
-    stars = met.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    sizes = met.groupBy("key").agg(F.count("*").alias("n"))
+    weight = met.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("w"))
+    best = F.max(F.struct("w", (-F.col("id")).alias("down"))).alias("best")
+    hubs = met.join(weight, "id").groupBy("key").agg(best).select("key", (-F.col("best.down")).alias("hub"))
+    stars = met.join(hubs, "key").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = stage(verify(stars, texts, words, percent), "links")
-    group = components(links)
-    first = met.join(group.withColumnRenamed("component", "c"), "id", "left")
-    placed = stage(first.select("key", "id", "hub", F.coalesce("c", "id").alias("c")), "placed")
-    # buckets that hold several components: their members outside the hub's component meet all the others
-    hub_c = placed.where("id = hub").select("key", F.col("c").alias("hub_c"))
-    outside = placed.join(hub_c, "key").where("c <> hub_c").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
-    others = placed.where("id <> hub").select("key", F.col("id").alias("y"), F.col("c").alias("cy"))
-    rest = (
-        outside.join(others, "key")
-        .where("cx <> cy")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
-    more = verify(rest, texts, words, percent)
+    group = components(links).withColumnRenamed("component", "c")
+    placed = met.join(hubs, "key").join(group, "id", "left").select("key", "id", "hub", F.coalesce("c", "id").alias("c"))
+    more = verify_rest(stage(placed, "placed"), texts, words, percent)
     final = components(links.unionByName(more)).withColumnsRenamed({"id": "rep", "component": "found"})
     return member.join(final, "rep", "left").select(
         "doc_id",
@@ -263,3 +353,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.coalesce("found", "rep", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("found", "rep", "doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates; rows of null id all stay."""
+    kept = near_duplicates(docs, words, percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
