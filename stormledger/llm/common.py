@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.operators.staging import scratch_path, stage
+from stormledger.operators.staging import discard, scratch_path, stage
 
-__all__ = ["fresh_folder", "held_out", "letters", "slices", "stage", "table"]
+__all__ = ["discard", "fresh_folder", "held_out", "letters", "slices", "stage", "table"]
 
 SLICE_BYTES = 4 << 20
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stage
+from .common import discard, slices, stage
 from .minhash import constants, mix
 from .quality import text_bytes
 
@@ -93,7 +93,7 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def occurrence_table(rows: DataFrame) -> DataFrame:
-    """(k1, k2, anchor, segment, pos, back, ahead) of every anchor of every text."""
+    """(k1, k2, anchor, segment, at) of every anchor of every text; ``at`` packs its place (see ``unpacked``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=SLICE_BYTES):
@@ -117,13 +117,11 @@ def occurrence_table(rows: DataFrame) -> DataFrame:
                     "k2": get("k2").take(pick),
                     "anchor": pa.array(h.view(np.int64)),
                     "segment": pa.array(segment.view(np.int64)),
-                    "pos": pa.array(at - first, pa.int64()),
-                    "back": pa.array(at - lo, pa.int32()),
-                    "ahead": pa.array(hi - at, pa.int32()),
+                    "at": pa.array(((at - first) << 20) | ((at - lo) << 10) | (hi - at), pa.int64()),
                 }
             )
 
-    schema = "k1 long, k2 long, anchor long, segment long, pos long, back int, ahead int"
+    schema = "k1 long, k2 long, anchor long, segment long, at long"
     return rows.select("k1", "k2", "text").mapInArrow(run, schema)
 
 
@@ -275,21 +273,42 @@ def with_keys(docs: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def unpacked(rows: DataFrame) -> DataFrame:
+    """``at`` as pos (of the anchor in its text), back and ahead (bytes of the segment before and from it)."""
+    low = lambda shift: F.shiftright("at", shift).bitwiseAND(1023).cast("int")
+    return rows.withColumns({"pos": F.shiftright("at", 20), "back": low(10), "ahead": low(0)}).drop("at")
+
+
 def duplicate_spans(docs: DataFrame) -> DataFrame:
     """(k1, k2, spans): per text with duplicates the (start, stop) byte ranges to remove; ranges may overlap."""
     rows = with_keys(docs)
     seen = stage(occurrence_table(rows), "anchors")
+    again = (
+        seen.groupBy("anchor")
+        .agg(F.count("*").alias("n"), F.min("segment").alias("low"), F.max("segment").alias("high"))
+        .where("n > 1")
+        .select("anchor", (F.col("low") < F.col("high")).alias("mixed"))
+    )
+    repeated = stage(unpacked(seen.join(again, "anchor")), "repeated")
+    discard(seen)
+    copied = repeated.groupBy("anchor", "segment", "mixed").agg(F.count("*").alias("copies"))
     place = F.struct("k1", "k2", "pos", "back", "ahead")
-    kinds = seen.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(place).alias("at"))
-    per = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).where("total > 1")
-    repeated = stage(kinds.join(per.drop("total"), "anchor"), "segments")
-    mixed = repeated.where("kinds > 1").select("anchor", "segment", "kinds", "at.*")
-    few, many = mixed.where(F.col("kinds") <= MOST_SEGMENTS), mixed.where(F.col("kinds") > MOST_SEGMENTS)
-    shared = shared_windows(cut_segments(rows, few))
-    if not many.isEmpty():
-        shared = shared.unionByName(shared_windows_by_hash(cut_segments(rows, many)))
-    once = repeated.where("copies = 1").select("anchor", "segment", "at.*").join(shared, ["anchor", "segment"])
-    whole = seen.join(repeated.where("copies > 1").select("anchor", "segment"), ["anchor", "segment"])
+    kinds = (
+        repeated.where("mixed")
+        .groupBy("anchor", "segment")
+        .agg(F.count("*").alias("copies"), F.min(place).alias("at"))
+        .select("anchor", "segment", "copies", "at.*")
+    )
+    kinds = stage(kinds, "segments")
+    size = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    large = size.where(F.col("kinds") > MOST_SEGMENTS)
+    if large.isEmpty():
+        shared = shared_windows(cut_segments(rows, kinds))
+    else:
+        few, many = kinds.join(large, "anchor", "left_anti"), kinds.join(large, "anchor", "left_semi")
+        shared = shared_windows(cut_segments(rows, few)).unionByName(shared_windows_by_hash(cut_segments(rows, many)))
+    once = kinds.where("copies = 1").join(shared, ["anchor", "segment"])
+    whole = repeated.join(copied.where("copies > 1").select("anchor", "segment"), ["anchor", "segment"])
     spans = once.select("k1", "k2", (F.col("pos") + F.col("start")).alias("start"), (F.col("pos") + F.col("stop")).alias("stop"))
     spans = spans.unionByName(
         whole.select("k1", "k2", (F.col("pos") - F.col("back")).alias("start"), (F.col("pos") + F.col("ahead")).alias("stop"))
