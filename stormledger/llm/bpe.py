@@ -30,6 +30,7 @@ from .common import slices
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 SLICE_BYTES = 16 << 20
 CACHED_WORDS = 1_000_000
+FIRST_DISPUTED = "\u0530"
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -65,7 +66,8 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         steps = spec["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        self.path, self.pattern, self.rare = path, steps[0]["pattern"]["Regex"], None
+        self.find = regex.compile(self.pattern).findall
         size = max(*vocab.values(), *self.special.values()) + 1
         self.text_of = [b""] * size
         for t, i in chain(vocab.items(), self.special.items()):
@@ -82,8 +84,21 @@ class Codec:
                 at = m.end()
             parts.append(text[at:])
         if len(parts) == 1:
-            return self.words(self.normal(text))
-        return list(chain.from_iterable([p] if isinstance(p, int) else self.words(self.normal(p)) for p in parts))
+            return self.words(text)
+        return list(chain.from_iterable([p] if isinstance(p, int) else self.words(p) for p in parts))
+
+    def words(self, text: str) -> list[str]:
+        """Normalised words. Where Unicode versions may disagree on a character, the file's own library decides."""
+        if text and max(text) >= FIRST_DISPUTED and any(unicodedata.category(c) == "Cn" for c in set(text)):
+            if self.rare is None:
+                from tokenizers import Regex, Tokenizer
+                from tokenizers.pre_tokenizers import Split
+
+                normal = Tokenizer.from_file(self.path).normalizer.normalize_str
+                cut = Split(Regex(self.pattern), "removed", invert=True).pre_tokenize_str
+                self.rare = lambda t: [w for w, _ in cut(normal(t))]
+            return self.rare(text)
+        return self.find(self.normal(text))
 
     @staticmethod
     def normal(text: str) -> str:
@@ -196,21 +211,22 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None) -> Da
     return _with_columns(docs, [("ids", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))], make, column)
 
 
-def round_trip(docs: DataFrame, column: str = "text", path: str | None = None) -> DataFrame:
-    """Adds n_tokens, ids_sha256 and decoded_sha256: encoded, then decoded from the ids alone."""
+def round_trip(docs: DataFrame, column: str = "text", path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Adds n_tokens, ids_sha256 and decoded_sha256: encoded, then decoded from the ids alone; on request the ids too."""
     path = path or vocabulary_path()
 
     def make(state, texts):
         codec = state.setdefault("codec", None) or state.update(codec=Codec(path)) or state["codec"]
         sha = lambda b: hashlib.sha256(b).hexdigest()
         ids = codec.encode(texts)
-        return [[len(x) // 4 for x in ids], [sha(x) for x in ids], [sha(codec.decode(x)) for x in ids]]
+        new = [[len(x) // 4 for x in ids], [sha(x) for x in ids], [sha(codec.decode(x)) for x in ids]]
+        return new + [[np.frombuffer(x, "<i4") for x in ids]] * with_ids
 
     fields = [
         ("n_tokens", T.LongType(), pa.int64()),
         ("ids_sha256", T.StringType(), pa.string()),
         ("decoded_sha256", T.StringType(), pa.string()),
-    ]
+    ] + [("ids", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))] * with_ids
     return _with_columns(docs, fields, make, column)
 
 

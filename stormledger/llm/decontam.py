@@ -1,7 +1,7 @@
 """Benchmark decontamination under edit distance.
 
-Texts and items are compared in a plain form: ASCII letters lowered, every run of other ASCII characters but
-digits one space, all other bytes as they are. A window of a text is as long as an item and aligned with it
+Texts and items are compared in a plain form: letters of ASCII and Latin-1 lowered, every run of other ASCII
+characters but digits one space, all other bytes as they are. A window of a text is as long as an item and aligned with it
 by one of the item's ``ANCHORS`` longest words. From the anchor on, towards the longer side of the
 item, the CGK random walk embeds both strings: it emits the byte under its pointer and a random bit that depends
 on step and byte moves the pointer, so that strings a few edits apart fall into step again and edit distance
@@ -56,6 +56,8 @@ PLACES = RANDOM.random((WALKS, SAMPLES, BITS))
 def plain(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Plain form of all texts, where each ends in it, and the place of every byte in the original."""
     form = PLAIN[data]
+    if len(form):  # capitals of Latin-1 are C3 80 to C3 9E, their small letters 20 higher
+        form[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)] += 32
     space = form == 32
     drop = space.copy()
     if len(drop):

@@ -31,6 +31,7 @@ SAMPLE_CHARS = 20_000
 MOST_LANGUAGES = 1000
 RIDGE = 0.1
 SHARPNESS = 8.0
+LEAST_SCORE = 0.3
 BITS = 6
 OTHER = 63
 ORDERS = (1, 2, 3)
@@ -167,6 +168,28 @@ def train(docs: DataFrame, training: Column | None = None) -> Model | None:
     return fit_model(draw_sample(docs, F.lit(True) if training is None else training))
 
 
+def predict(texts: list[str | None], model: Model | None, flags: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
+    """Languages and scores of a block of texts."""
+    names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    if model is None:
+        return names, scores
+    x, lettered = features(texts, model.classes, model.columns, flags)
+    margins = (x @ model.weights + model.bias).astype(np.float64)
+    best = margins.argmax(axis=1)
+    top = 1 / np.exp(SHARPNESS * (margins - margins.max(axis=1, keepdims=True))).sum(axis=1)
+    for i, t in enumerate(texts):
+        if t and (lettered[i] or letters(t)):
+            names[i], scores[i] = model.languages[best[i]], top[i]
+    return names, scores
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
+    for whole in slices(batches, column):
+        for at in range(0, whole.num_rows, BLOCK):
+            batch = whole.slice(at, BLOCK)
+            yield batch, batch.column(batch.schema.get_field_index(column)).to_pylist()
+
+
 def classify(docs: DataFrame, model: Model | None, column: str = "text") -> DataFrame:
     """Adds ``lang_pred`` and ``score``; columns of these names are replaced."""
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
@@ -174,23 +197,29 @@ def classify(docs: DataFrame, model: Model | None, column: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = new_flags()
-        for whole in slices(batches, column):
-            for at in range(0, whole.num_rows, BLOCK):
-                batch = whole.slice(at, BLOCK)
-                texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
-                names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-                if model is not None:
-                    x, lettered = features(texts, model.classes, model.columns, flags)
-                    margins = (x @ model.weights + model.bias).astype(np.float64)
-                    best = margins.argmax(axis=1)
-                    soft = np.exp(SHARPNESS * (margins - margins.max(axis=1, keepdims=True)))
-                    top = 1 / soft.sum(axis=1)
-                    for i, t in enumerate(texts):
-                        if t and (lettered[i] or letters(t)):
-                            names[i], scores[i] = model.languages[best[i]], top[i]
-                old = {f.name: batch.column(batch.schema.get_field_index(f.name)) for f in kept}
-                yield pa.RecordBatch.from_pydict(
-                    old | {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
-                )
+        for batch, texts in blocks(batches, column):
+            names, scores = predict(texts, model, flags)
+            old = {f.name: batch.column(batch.schema.get_field_index(f.name)) for f in kept}
+            yield pa.RecordBatch.from_pydict(
+                old | {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
+            )
 
     return docs.mapInArrow(run, schema)
+
+
+def keep_identified(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE, column: str = "text") -> DataFrame:
+    """``docs`` without the texts that are in no learned language (``und``) or score below ``least``.
+
+    Without a model nothing can be rejected.
+    """
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = new_flags()
+        for batch, texts in blocks(batches, column):
+            names, scores = predict(texts, model, flags)
+            keep = [n != UNDETERMINED and s >= least for n, s in zip(names, scores)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
