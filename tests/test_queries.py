@@ -2,8 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as spark_entry
 from workload.compare import compare, open_tables
+from workload.oracles import SQL
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +13,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
-    problems, n, _ = compare(
-        spark, con, spark_entry.queries()[name], spark_entry.oracle_sql()[name], sf_dir
-    )
+    problems, _, _ = compare(spark, con, QUERIES[name], SQL[name], sf_dir)
     assert not problems
 
 
@@ -34,9 +33,7 @@ def test_query_without_help_from_the_planner(spark, con, sf_dir, name):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        problems, _, _ = compare(
-            spark, con, spark_entry.queries()[name], spark_entry.oracle_sql()[name], sf_dir
-        )
+        problems, _, _ = compare(spark, con, QUERIES[name], SQL[name], sf_dir)
     finally:
         for key in settings:
             spark.conf.unset(key)
