@@ -12,7 +12,10 @@ def field(parts: Column, position: int) -> Column:
 
 
 def clean_int(text: Column, kind: str = "int") -> Column:
-    return F.trim(text).try_cast(kind)
+    """A whole number; decimals are cut off ('64.0' and '64.9' are 64)."""
+    plain = F.trim(text)
+    whole = F.regexp_extract(plain, r"^([+-]?\d+)\.\d*$", 1)
+    return F.coalesce(plain.try_cast(kind), whole.try_cast(kind))
 
 
 def text_date(text: Column, pattern: str = "yyyyMMdd") -> Column:
@@ -20,4 +23,4 @@ def text_date(text: Column, pattern: str = "yyyyMMdd") -> Column:
 
 
 def decade_of(year: Column) -> Column:
-    return (F.floor(year.try_cast("int") / 10) * 10).cast("int")
+    return (F.floor(clean_int(year) / 10) * 10).cast("int")

@@ -46,14 +46,23 @@ def _number_parts(staged: DataFrame, part: list[str], id_col: str, start: int, h
 
 
 def global_row_id(
-    df: DataFrame, order_by: list[str | Column], id_col: str = "row_id", start: int = 1
+    df: DataFrame,
+    order_by: list[str | Column],
+    id_col: str = "row_id",
+    start: int = 1,
+    costly: bool = False,
 ) -> DataFrame:
     """``row_number()`` over one global order, as bigint ``id_col``.
 
     The sort splits on *all* of ``order_by``, so a leading key that holds most
     rows is spread over many tasks. ``order_by`` should be total. Where whole
     rows may be copies, end it with a column made by :func:`scan_position`.
+
+    A sort looks at a sample of its input first, which computes the input twice. ``costly``: the
+    input is more than a scan (a join that multiplies rows), so it is written once and its scan is sorted.
     """
+    if costly:
+        df = stage(df, "unsorted")
     # A global sort numbers its partitions in key order; the id's upper bits hold that number.
     laid_out = df.orderBy(*order_by).withColumn(_POS, F.monotonically_increasing_id())
     staged = stage(laid_out, "sorted").withColumn(_PART, F.shiftright(_POS, 33))
@@ -62,7 +71,7 @@ def global_row_id(
 
 
 def number_lines(lines: DataFrame, id_col: str = "_c0", start: int = 0) -> DataFrame:
-    """Line index over a text scan, in file and line order, skipping empty lines.
+    """Line index over a text scan, in file and line order, skipping lines of nothing but blanks.
 
     ``lines`` comes straight from ``spark.read.text``. The lines are not shuffled.
     """
@@ -72,7 +81,7 @@ def number_lines(lines: DataFrame, id_col: str = "_c0", start: int = 0) -> DataF
             F.col("_metadata.file_path").alias(_FILE),
             F.col("_metadata.file_block_start").alias(_BLOCK),
         )
-        .where(F.col("value") != "")
+        .where(F.col("value").rlike(r"[^ \t]"))
         .withColumn(_POS, F.monotonically_increasing_id())
     )
     hint = lambda shifts: bounded_broadcast(shifts, BROADCAST_SPLITS)

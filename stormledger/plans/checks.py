@@ -15,12 +15,13 @@ def storm_completeness(raw: DataFrame, headers: DataFrame, tracks: DataFrame) ->
 
 
 def names_completeness(raw: DataFrame, names: DataFrame) -> DataFrame:
-    return count_check("names", [raw], [names])
+    """Every name line is in the table with a name and a year."""
+    return count_check("names", [raw], [names], keys=["birth_name", "birth_year"])
 
 
 def states_completeness(raw: DataFrame, states: DataFrame) -> DataFrame:
-    """Every state record is in the table; a header line among the data is none."""
-    return count_check("states", [state_rows(raw)], [states])
+    """Every state record is in the table with a name and a code; a header line among the data is none."""
+    return count_check("states", [state_rows(raw)], [states], keys=["state", "state_code"])
 
 
 def coordinate_check(tracks: DataFrame) -> DataFrame:

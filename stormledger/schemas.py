@@ -16,6 +16,10 @@ from pyspark.sql.types import (
     StructType,
 )
 
+def _struct(*fields) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields])
+
+
 # ---------------------------------------------------------------- fixed values
 # Storm status codes.
 STATUS_LABELS = {
@@ -77,11 +81,6 @@ HEADER_MARKER = "AL"
 UNNAMED_MARKER = "UNNAMED"
 LANDFALL_LABEL = "landfall"
 TRACK_WIDTH = 21
-# ------------------------------------------------------------ end fixed values
-
-
-def _struct(*fields) -> StructType:
-    return StructType([StructField(name, kind) for name, kind in fields])
 
 
 WIND_SCALE_SCHEMA = _struct(
@@ -118,6 +117,8 @@ NAMES_SCHEMA = _struct(
     ("decade", IntegerType()),
 )
 
+# ------------------------------------------------------------ end fixed values
+
 # A region is one or more rings; a name with several rows has several parts.
 REGION_SCHEMA = _struct(
     ("state", StringType()),
@@ -125,6 +126,6 @@ REGION_SCHEMA = _struct(
 )
 
 
-def track_csv_schema(width: int = TRACK_WIDTH) -> StructType:
-    """``_c0`` (the line index) and text fields ``0`` .. ``width-1``."""
-    return _struct(("_c0", StringType()), *((str(i), StringType()) for i in range(width)))
+def text_schema(names: list[str]) -> StructType:
+    """All text, under these names."""
+    return _struct(*((name, StringType()) for name in names))

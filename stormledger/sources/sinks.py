@@ -1,44 +1,28 @@
 from __future__ import annotations
 
-from contextlib import contextmanager
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.joins import within_bound
-
-# Below this many rows, writing takes as long as making files, not moving rows.
-SMALL_TABLE_ROWS = 100_000
-
-
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-@contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+def write_table(df: DataFrame, path: str, sort: list[str] | None = None, blooms: tuple[str, ...] = ()) -> None:
+    """Parquet. ``sort``: order of the rows inside each file, so that filters on the first of these columns skip
+    row groups and pages; ``blooms``: columns with a bloom filter per row group. Neither moves rows.
+    """
+    placed = df.sortWithinPartitions(*sort) if sort else df
+    writer = placed.write.mode("overwrite")
+    for column in blooms:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str], clustered: bool = False) -> None:
     """Parquet in one folder per value of ``columns``.
 
     Rows are brought together by folder first, so that a folder gets few files; a
-    folder too large for one task is split. ``clustered``: the rows of a large table
-    are sorted by these columns already, so do not shuffle them again.
+    folder too large for one task is split. ``clustered``: the rows are sorted by these
+    columns already, so they are written where they are.
     """
-    in_place = clustered and not within_bound(df, SMALL_TABLE_ROWS)
-    placed = df if in_place else df.hint("rebalance", *columns)
-    # Merging small shuffle partitions would merge no files, only make fewer tasks write them.
-    with _conf(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-        placed.write.mode("overwrite").partitionBy(*columns).parquet(path)
+    placed = df if clustered else df.hint("rebalance", *columns)
+    placed.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -7,26 +7,34 @@ from pyspark.sql import functions as F
 
 from ..functions import field
 from ..operators.row_ids import number_lines
-from ..schemas import TRACK_WIDTH, track_csv_schema
+from ..schemas import TRACK_WIDTH, text_schema
 
 
-def split_lines(lines: DataFrame, width: int = TRACK_WIDTH) -> DataFrame:
+def widest(lines: DataFrame) -> int:
+    """Fields of the longest line; never fewer than the published ``TRACK_WIDTH``."""
+    return max(TRACK_WIDTH, lines.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 0)
+
+
+def split_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
     """``value`` -> text fields ``0`` .. ``width-1``; absent and empty fields are NULL.
 
-    An empty field in a CSV file reads back as NULL, so both ways in agree.
+    Without a ``width`` the lines are read once for their longest. An empty field in a CSV
+    file reads back as NULL, so both ways in agree.
     """
     parts = F.split("value", ",")
     others = [c for c in lines.columns if c != "value"]
     return lines.select(
         *others,
-        *(F.nullif(field(parts, i), F.lit("")).alias(str(i)) for i in range(width)),
+        *(F.nullif(field(parts, i), F.lit("")).alias(str(i)) for i in range(width or widest(lines))),
     )
 
 
-def ingest_track_lines(spark: SparkSession, path: str, width: int = TRACK_WIDTH) -> DataFrame:
+def ingest_track_lines(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
     """Raw track text -> ``_c0`` (line index) and text fields; the form :func:`read_track_csv` reads."""
     return split_lines(number_lines(spark.read.text(path)), width)
 
 
-def read_track_csv(spark: SparkSession, path: str, width: int = TRACK_WIDTH) -> DataFrame:
-    return spark.read.schema(track_csv_schema(width)).csv(path, header=True)
+def read_track_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Text columns under the names of the file's header. A file with another header raises."""
+    names = spark.read.csv(path, header=True).columns
+    return spark.read.schema(text_schema(names)).csv(path, header=True, enforceSchema=False)

@@ -4,10 +4,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import BOXES, NAME_LINES, STATES_CSV, TRACK_LINES
 from helpers import rows
-from stormledger.operators import box_regions
+from stormledger.operators import block_join, box_regions
 from stormledger.plans import (
     FACT_REPORTS,
     TABLE_PATHS,
@@ -178,10 +179,10 @@ def test_checks(tables, feeds):
     check = storm_completeness(feeds["tracks"], tables["storm_headers"], tables["atlantic_storms"])
     assert tuple(check.first()) == ("storms", 12, 13, False)
     assert tuple(names_completeness(feeds["names"], tables["names_by_state"]).first()) == (
-        "names", 4, 4, True,
+        "names", 4, 4, 0, True,
     )
     assert tuple(states_completeness(feeds["states"], tables["state_data"]).first()) == (
-        "states", 2, 2, True,
+        "states", 2, 2, 0, True,
     )
     assert tuple(coordinate_check(tables["atlantic_storms"]).first()) == (0, 0, True)
     landfalls = named_landfalls(tables["atlantic_storms"])
@@ -197,10 +198,40 @@ def test_states_header_as_data(spark, tmp_path):
         '[{"state":"State","state_code":"State Code","region":"Region","division":"Division"},'
         '{"state":"Texas","state_code":"TX","region":"South","division":"West South Central"}]'
     )
-    raw = read_states_json(spark, str(path), ["state", "state_code", "region", "division"])
-    states = states_dimension(raw)
-    assert rows(states) == [(1, "TX", "Texas", "South", "West South Central")]
-    assert tuple(states_completeness(raw, states).first()) == ("states", 1, 1, True)
+    for keys in (None, ["state", "state_code", "region", "division"]):
+        raw = read_states_json(spark, str(path), keys)
+        states = states_dimension(raw)
+        assert rows(states) == [(1, "TX", "Texas", "South", "West South Central")]
+        assert tuple(states_completeness(raw, states).first()) == ("states", 1, 1, 0, True)
+    nameless = states.withColumn("state", F.lit(None).cast("string"))
+    assert tuple(states_completeness(raw, nameless).first()) == ("states", 1, 1, 1, False)
+
+
+def test_states_with_other_keys_or_another_order(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"x": 1}\n')
+    with pytest.raises(ValueError, match="none of"):
+        read_states_json(spark, str(tmp_path / "a.json"))
+    (tmp_path / "b.json").write_text('{"STATE CODE": "TX", "state": "Texas"}\n{"state_code": "LA", "state": "Louisiana"}\n')
+    assert rows(read_states_json(spark, str(tmp_path / "b.json"))) == [
+        ("Louisiana", "LA", None, None), ("Texas", "TX", None, None),
+    ]
+    (tmp_path / "c.csv").write_text("Division,State Code,Region,State\nW,TX,South,Texas\n")
+    assert rows(read_states_csv(spark, str(tmp_path / "c.csv"))) == [("Texas", "TX", "South", "W")]
+    (tmp_path / "d.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="none of"):
+        read_states_csv(spark, str(tmp_path / "d.csv"))
+
+
+def test_wide_lines_lines_of_blanks_and_decimals(spark, tmp_path):
+    wide = ",".join(str(i) for i in range(25))
+    (tmp_path / "t.txt").write_text(f"AL012001, X, 2,\n20010101, 0000, L, HU, 1.0N, 1.0E, 64.0, 990\n  \t\n{wide}\n")
+    raw = ingest_track_lines(spark, str(tmp_path / "t.txt"))
+    write_csv(raw, str(tmp_path / "csv"))
+    back = read_track_csv(spark, str(tmp_path / "csv"))
+    assert back.columns == ["_c0", *(str(i) for i in range(25))]
+    assert rows(back, "_c0", "0", "24") == [("0", "AL012001", None), ("1", "20010101", None), ("2", "0", "24")]
+    assert rows(storm_stats(back), "stat_id", "max_sustained_wind_kt", "storm_category") == [(1, 64, "1"), (2, 6, None)]
+    assert rows(block_join(storm_headers(back), storm_stats(back)), "stat_id") == [(1,), (2,)]
 
 
 def test_dirty_lines(spark, tmp_path):
