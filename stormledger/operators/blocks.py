@@ -28,7 +28,8 @@ def block_join(
     The line axis is cut into cells of ``2 ** cell_bits`` lines and joined on the
     cell. Only a block's two end cells can hold lines outside it, so at most two
     cells of candidate pairs per header fail the range test. No cell holds more
-    lines than its width, so no key of the join is hot. A block is cut into chunks
+    lines than its width; it is met by every header whose block covers it, so only a feed with very many
+    blocks over the same lines has a crowded cell. A block is cut into chunks
     of ``chunk_cells`` cells before it is cut into cells, so that even a block of
     most of the feed is spread over many tasks. No block is cut beyond the feed's last
     line, whatever its header claims; finding that line reads one column of ``details``.

@@ -1,36 +1,60 @@
-"""Equi-joins whose plan does not hang on luck.
-
-``skew_safe_join`` broadcasts the side that should be small only after counting
-it up to a bound. Beyond the bound it shuffles, and hot keys are cut into a grid:
-the rows of one side into salts, those of the other into chunks.
+"""Equi-joins that check the size of what they broadcast and cut keys that are hot.
+
+``skew_safe_join`` broadcasts the side that should be small only after measuring
+it up to a bound in rows and bytes. Beyond the bound it shuffles. Keys with more
+rows than a task should hold are cut into a grid of their own: the rows of one
+side into salts, those of the other into chunks, as many as that key's own
+counts need. A key that is hot on one side only is repeated on neither side more often than
+the other side is cut.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+
+from .staging import stage
 
-# A few hundred bytes per row keeps a broadcast within some tens of megabytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 # A key with more rows than this on the broadcast side multiplies its partners too much for one task.
 FAN_OUT = 1_000
-SALTS = 64
+# Rows of one key that one task of a shuffle join should hold.
+TASK_ROWS = 1_000_000
+# Rows that one cell of the grid may give.
+OUT_ROWS = 10_000_000
+
+_SALT, _CHUNK, _SALTS, _CHUNKS = "__salt", "__chunk", "__salts", "__chunks"
+
 
-_SALT, _CHUNK = "__salt", "__chunk"
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: text by its length, everything else by its printed form or 8."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            size = F.length(c.cast("string"))
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size, F.lit(0))
+    return total
 
 
-def within_bound(df: DataFrame, rows: int) -> bool:
-    """True if ``df`` has at most ``rows`` rows.
+def within_bound(df: DataFrame, rows: int, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` has at most ``rows`` rows and about ``most_bytes`` bytes.
 
     ``take`` runs over more and more partitions until it has seen enough, so a large
-    ``df`` is not scanned to its end; at most ``rows + 1`` literals reach the driver.
+    ``df`` is not scanned to its end; at most ``rows + 1`` numbers reach the driver.
     """
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    sizes = df.select(row_bytes(df)).take(rows + 1)
+    return len(sizes) <= rows and sum(r[0] for r in sizes) <= most_bytes
 
 
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if ``df`` is within ``rows``; otherwise ``df`` as it is."""
+    """Broadcast hint if ``df`` is within bounds; otherwise ``df`` as it is."""
     return F.broadcast(df) if within_bound(df, rows) else df
 
 
@@ -44,17 +68,13 @@ def spread_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def hot_keys(df: DataFrame, key: str, parts: int) -> list:
-    """Keys that hold more than 1/``parts`` of all rows: by that, fewer than ``parts``.
+def key_cuts(df: DataFrame, key: str, most: int, name: str) -> DataFrame:
+    """(key, ``name``): keys with more than ``most`` rows and the number of parts of ``most`` rows they need.
 
-    Counted with a map-side combine; only those few keys reach the driver.
+    Counted with a map-side combine. There are at most count / ``most`` of them.
     """
-    return list(_keys_above(df, key, df.count() / parts))
-
-
-def _keys_above(df: DataFrame, key: str, limit: float) -> dict:
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
-    return {row[0]: row[1] for row in counts.where(F.col("__n") > limit).collect()}
+    return counts.where(F.col("__n") > most).select(key, F.ceil(F.col("__n") / most).cast("int").alias(name))
 
 
 def skew_safe_join(
@@ -63,14 +83,14 @@ def skew_safe_join(
     on: str,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    task_rows: int = TASK_ROWS,
     fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Join ``left`` (large, may be skewed) with ``right`` on a column both have.
 
     ``how``: inner, left, left_semi or left_anti. Same rows as a plain join.
 
-    ``right`` within ``broadcast_rows`` is broadcast and ``left`` stays where it is. Only the
+    A ``right`` within ``broadcast_rows`` is broadcast and ``left`` stays where it is. Only the
     rows of keys with more than ``fan_out`` partners are shuffled (an inner join; there are
     at most ``broadcast_rows / fan_out`` such keys), so that no task multiplies its rows by thousands.
     """
@@ -79,44 +99,68 @@ def skew_safe_join(
     elif how not in ("inner", "left"):
         raise ValueError(f"unsupported join: {how}")
     if within_bound(right, broadcast_rows):
-        wide = _keys_above(right, on, fan_out) if how == "inner" else {}
+        wide = [r[0] for r in key_cuts(right, on, fan_out, _CHUNKS).collect()] if how == "inner" else []
         if not wide:
             return left.join(F.broadcast(right), on, how)
-        is_wide = F.coalesce(F.col(on).isin(list(wide)), F.lit(False))
+        is_wide = F.coalesce(F.col(on).isin(wide), F.lit(False))
         narrow = left.where(~is_wide).join(F.broadcast(right.where(~is_wide)), on)
-        chunks = -(-max(wide.values()) // fan_out)
-        return narrow.unionByName(
-            _grid_join(left.where(is_wide), right.where(is_wide), on, how, list(wide), salts, chunks)
-        )
-    hot = hot_keys(left, on, salts)
-    hot_right = hot_keys(right, on, salts) if how == "inner" else []
-    if not hot and not hot_right:
-        return left.join(right, on, how)
-    return _grid_join(
-        left, right, on, how, list({*hot, *hot_right}), salts, salts if hot_right else 1
-    )
+        left, right = left.where(is_wide), right.where(is_wide)
+        return narrow.unionByName(_grid_join(left, right, on, how, task_rows, fan_out))
+    return _grid_join(left, right, on, how, task_rows, task_rows)
 
 
-def _slot(df: DataFrame, slots: int) -> Column:
+def _slot(df: DataFrame, slots: Column) -> Column:
     """A number below ``slots`` for a row.
 
     It differs between rows of a task by their values, and between copies of a row by
     their tasks. A retried task gives its rows the same numbers again.
     """
     values = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    return F.pmod(F.xxhash64(*values) + F.spark_partition_id(), F.lit(slots)).cast("int")
+    return F.pmod(F.xxhash64(*values) + F.spark_partition_id(), slots).cast("int")
+
 
+def grid_of(left: DataFrame, right: DataFrame, on: str, how: str, left_rows: int, right_rows: int) -> DataFrame:
+    """(on, salts, chunks) of the keys that are hot on a side or whose rows multiply too much for one task.
 
-def _grid_join(left, right, on, how, hot, salts, chunks):
-    """Left rows of a ``hot`` key go to one of ``salts`` rows of a grid, right rows to one of
-    ``chunks`` columns; each is repeated along the other axis, so every pair meets once.
-    With more than one chunk, for inner joins only.
+    Each side is cut by its own count of that key; where one cell would still give more than ``OUT_ROWS``
+    rows, the left side is cut further. Only an inner join cuts the right side: a left row that meets some
+    chunks only has no partner elsewhere.
     """
-    is_hot = F.col(on).isin(hot)
-    along = lambda n: F.explode(
-        F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    if how != "inner":
+        return key_cuts(left, on, left_rows, _SALTS).withColumn(_CHUNKS, F.lit(1))
+    count = lambda df, n: df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias(n))
+    both = count(left, "__l").join(count(right, "__r"), on)
+    parts = lambda n, most: F.ceil(F.col(n) / most).cast("int")
+    cell = F.col("__l") * F.col("__r") / F.col(_CHUNKS) / OUT_ROWS
+    return (
+        both.withColumn(_CHUNKS, parts("__r", right_rows))
+        .withColumn(_SALTS, F.least(F.greatest(parts("__l", left_rows), F.ceil(cell)), F.col("__l")).cast("int"))
+        .where((F.col(_SALTS) > 1) | (F.col(_CHUNKS) > 1))
+        .select(on, _SALTS, _CHUNKS)
     )
-    one_of = lambda df, n: F.when(is_hot, _slot(df, n)).otherwise(0)
-    left = left.withColumn(_SALT, one_of(left, salts)).withColumn(_CHUNK, along(chunks))
-    right = right.withColumn(_CHUNK, one_of(right, chunks)).withColumn(_SALT, along(salts))
+
+
+def on_grid(left: DataFrame, right: DataFrame, grid: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the cells of the grid: left rows of a hot key go to one of its salts, right rows to
+    one of its chunks; each is repeated along the other axis, so every pair meets once.
+    """
+    hint = bounded_broadcast(grid, 4 * BROADCAST_ROWS)
+    n = lambda c: F.coalesce(F.col(c), F.lit(1))
+    along = lambda c: F.explode(F.sequence(F.lit(0), n(c) - 1))
+    placed = []
+    for side, own, own_n, other, other_n in (
+        (left, _SALT, _SALTS, _CHUNK, _CHUNKS),
+        (right, _CHUNK, _CHUNKS, _SALT, _SALTS),
+    ):
+        cut = side.withColumn("__slot", _slot(side, F.lit(2**31 - 1))).join(hint, on, "left")
+        cut = cut.withColumn(own, F.pmod("__slot", n(own_n))).withColumn(other, along(other_n))
+        placed.append(cut.drop("__slot", _SALTS, _CHUNKS))
+    return placed[0], placed[1]
+
+
+def _grid_join(left, right, on, how, left_rows, right_rows):
+    grid = stage(grid_of(left, right, on, how, left_rows, right_rows), "hot-keys")
+    if grid.isEmpty():
+        return left.join(right, on, how)
+    left, right = on_grid(left, right, grid, on)
     return left.join(right, [on, _SALT, _CHUNK], how).drop(_SALT, _CHUNK)

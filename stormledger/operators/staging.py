@@ -18,16 +18,22 @@ from pyspark.sql import DataFrame, SparkSession
 _paths: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
+_local: dict[str, str] = {}
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a fresh temporary folder in local mode only."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset, a local master (one machine) gets a folder of
+    its own for the application; a cluster must set it.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="stormledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="stormledger-")
+    return _local[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -147,4 +147,4 @@ def storm_tracks(headers: DataFrame, stats: DataFrame) -> DataFrame:
     """Track table, numbered by storm id (then by header and line)."""
     joined = join_tracks(headers, stats).select(*TRACK_COLUMNS, "header_id", "stat_id")
     order = ["storm_id", "header_id", "stat_id"]
-    return global_row_id(joined, order, "atl_id").select("atl_id", *TRACK_COLUMNS)
+    return global_row_id(joined, order, "atl_id", costly=True).select("atl_id", *TRACK_COLUMNS)

@@ -21,7 +21,7 @@ from stormledger.operators import (
     ragged_rows,
     skew_safe_join,
 )
-from stormledger.operators.joins import hot_keys
+from stormledger.operators import joins
 from stormledger.operators.profile import ragged_count
 from stormledger.operators.row_ids import scan_position
 from stormledger.schemas import STATUS_LABELS, WIND_SCALE
@@ -133,27 +133,62 @@ def test_skew_safe_join_equals_plain_join(spark, how, bound, fan_out):
     right = [(k, i) for i in range(2) for k in ["a", "b", "z", None]] + [("hot", i // 3) for i in range(60)]
     a = spark.createDataFrame(left, "k string, v int").repartition(6)
     b = spark.createDataFrame(right, "k string, w int").repartition(3)
-    got = skew_safe_join(a, b, "k", how, broadcast_rows=bound, salts=8, fan_out=fan_out)
+    got = skew_safe_join(a, b, "k", how, broadcast_rows=bound, task_rows=100, fan_out=fan_out)
     want = a.join(b, "k", how)
     assert rows(got) == rows(want) and got.columns == want.columns
 
 
-def test_hot_keys_are_few_and_right(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 600, F.lit(0)).otherwise(F.col("id")).alias("k"))
-    assert hot_keys(df, "k", 16) == [0]
+def _two_sided(spark):
+    """Key A hot on the left with one partner, key B hot on the right with one partner, the rest unique."""
+    left = spark.range(0, 100_000, 1, 8).select(
+        F.when(F.col("id") < 50_000, "A").when(F.col("id") == 50_000, "B").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    right = spark.range(0, 60_000, 1, 4).select(
+        F.when(F.col("id") < 58_000, "B").when(F.col("id") == 58_000, "A").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("w"),
+    )
+    return left, right
+
+
+@pytest.mark.parametrize("task_rows", [1_000, 10_000])
+def test_each_hot_key_is_cut_by_its_own_counts(spark, task_rows):
+    left, right = _two_sided(spark)
+    grid = joins.grid_of(left, right, "k", "inner", task_rows, task_rows)
+    assert rows(grid) == [("A", 50_000 // task_rows, 1), ("B", 1, -(-58_000 // task_rows))]
+    a, b = joins.on_grid(left, right, grid, "k")
+    # A's one partner and B's one partner are repeated, nothing else
+    assert a.count() == 100_000 - 1 + -(-58_000 // task_rows)
+    assert b.count() == 60_000 - 1 + 50_000 // task_rows
+    cell = a.groupBy("k", "__salt", "__chunk").count().agg(F.max("count")).first()[0]
+    assert cell <= 1.2 * task_rows
+    got = skew_safe_join(left, right, "k", broadcast_rows=3, task_rows=task_rows)
+    assert got.count() == left.join(right, "k").count()
+
+
+def test_keys_that_multiply_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(joins, "OUT_ROWS", 1_000)
+    a = spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    b = spark.range(100).select(F.lit("hot").alias("k"), F.col("id").alias("w"))
+    assert rows(joins.grid_of(a, b, "k", "inner", 1_000, 1_000)) == [("hot", 30, 1)]
+    assert skew_safe_join(a, b, "k", broadcast_rows=3).count() == 30_000
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    df = spark.range(10).select(F.repeat(F.lit("x"), 1_000).alias("t"), F.array(F.lit(1)).alias("a"))
+    assert joins.within_bound(df, 10) and not joins.within_bound(df, 9)
+    assert not joins.within_bound(df, 10, most_bytes=9_000)
 
 
 @pytest.mark.parametrize("salts, chunks", [(16, 1), (8, 8)])
 def test_grid_join_spreads_the_hot_key(spark, salts, chunks):
-    from stormledger.operators.joins import _grid_join
-
     # Copies of one row on the left.
     a = spark.range(0, 4_000, 1, 16).select(F.lit("hot").alias("k"), F.lit(0).alias("v"))
     b = spark.range(0, 100, 1, 4).select(F.lit("hot").alias("k"), F.col("id").alias("w"))
     for conf in ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]:
         spark.conf.set(conf, "false" if conf.endswith("enabled") else "-1")
     try:
-        joined = _grid_join(a, b, "k", "inner", ["hot"], salts, chunks)
+        joined = joins._grid_join(a, b, "k", "inner", -(-4_000 // salts), -(-100 // chunks))
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -161,6 +196,38 @@ def test_grid_join_spreads_the_hot_key(spark, salts, chunks):
     assert sum(sizes) == 400_000 and max(sizes) <= 200_000 and len(sizes) > 2
 
 
+def test_rows_before_a_numbered_join_are_computed_once(spark):
+    """A costly input is computed once per row, a plain one twice (the sort's sample)."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 1_000, 1, 4).mapInArrow(touch, "id long")
+    assert global_row_id(df, ["id"], "n", costly=True).count() == 1_000 and seen.value == 1_000
+
+
+def test_staged_tables_can_be_discarded(spark):
+    from stormledger.operators.staging import discard, stage
+
+    kept, gone = stage(spark.range(3)), stage(spark.range(3))
+    folder = gone.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    discard(gone)
+    import os
+
+    assert not os.path.exists(folder) and kept.count() == 3
+
+
+def test_a_region_without_a_name_holds_nothing(spark):
+    box = [(0.0, 0.0), (0.0, 2.0), (2.0, 2.0), (2.0, 0.0)]
+    regions = spark.createDataFrame([("T", box), (None, box)], "state string, ring array<struct<lat:double,lon:double>>")
+    points = spark.createDataFrame([(1.0, 1.0)], "latitude double, longitude double")
+    for bound in (1_000, 0):
+        assert locate_points(points, regions, broadcast_cells=bound).first().state == "T"
+
+
 # ------------------------------------------------------------------ regions
 def _inside(lat, lon, ring):
     odd = False
@@ -327,6 +394,31 @@ def test_report_filters_reach_the_scan(spark, tmp_path):
         assert pushed in plan[plan.index("PushedFilters") :] and "swl_id" not in plan
 
 
+def test_storm_filter_skips_row_groups(spark, tmp_path):
+    """Sorted inside its files, the fact's row groups span few storms each."""
+    import pyarrow.parquet as pq
+
+    from stormledger.sources import write_table
+
+    fact = spark.range(0, 40_000, 1, 1).select(
+        F.sha1(F.col("id").cast("string")).alias("bsn_id"), F.format_string("S%03d", F.col("id") * 7919 % 100).alias("storm_name")
+    )
+    path = tmp_path / "fact"
+    spark.conf.set("parquet.block.size", "100000")
+    try:
+        write_table(fact, str(path), sort=["storm_name"], blooms=("storm_name",))
+    finally:
+        spark.conf.unset("parquet.block.size")
+    groups = [
+        (c.statistics.min, c.statistics.max)
+        for f in path.glob("*.parquet")
+        for meta in [pq.ParquetFile(f).metadata]
+        for g in range(meta.num_row_groups)
+        for c in [meta.row_group(g).column(1)]
+    ]
+    assert len(groups) > 4 and sum(lo <= "S042" <= hi for lo, hi in groups) <= 2
+
+
 def test_top_names_cut_groups_before_the_shuffle(spark):
     from stormledger.plans import top_names_by_state
 
@@ -335,7 +427,7 @@ def test_top_names_cut_groups_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_top_names_with_a_large_k(spark, monkeypatch):
+def test_top_names_with_a_large_k(spark):
     from stormledger.plans import analytics
 
     names = spark.range(400).select(
@@ -345,8 +437,11 @@ def test_top_names_with_a_large_k(spark, monkeypatch):
         (F.col("id") % 7).cast("string").alias("count"),
     )
     want = rows(analytics.top_names_by_state(names, 1999, 2001, 20))
-    monkeypatch.setattr(analytics, "PLANNED_LIMIT", 5)
-    assert rows(analytics.top_names_by_state(names, 1999, 2001, 20)) == want and len(want) == 60
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        assert rows(analytics.top_names_by_state(names, 1999, 2001, 20)) == want and len(want) == 60
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
 def test_session_builder_joins_the_running_session(spark):
