@@ -74,17 +74,28 @@ def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             status,
             _hemisphere_text(lat, F.when(F.col("l_discount") >= 0.08, "S").otherwise("N")),
             _hemisphere_text(lon, F.when(F.col("l_discount") <= 0.01, "W").otherwise("E")),
-            F.when(line == 7, "n/a").otherwise(text(qty + line * 20)),
+            F.when(line == 7, "n/a")
+            .when(line == 4, F.concat(text(qty + line * 20), F.lit(".0")))
+            .otherwise(text(qty + line * 20)),
             F.when(F.col("l_discount") == 0, "-999").otherwise(text(qty + 880)),
+            # wind radii and more: some lines are longer than the published width
+            F.when(line == 5, ", ".join(str(i) for i in range(9, 26))),
         ).alias("value"),
     )
     return headers.unionByName(details)
 
 
+def blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of nothing but blanks after the details of every seventh part; no reader counts them."""
+    part = table(spark, sf_dir, "part").where("p_partkey % 7 = 0")
+    return part.select(F.col("p_partkey").alias("block"), F.lit(2).alias("kind"), F.lit("  \t ").alias("value"))
+
+
 def write_track_feed(spark: SparkSession, sf_dir: str) -> str:
     """The feed as a text file, its lines indexed and split, as CSV. Returns the CSV's path."""
     text, csv = scratch_path(spark, "tracks-text"), scratch_path(spark, "tracks-csv")
-    lines = track_lines(spark, sf_dir).orderBy("block", "kind", "value")
+    every = track_lines(spark, sf_dir).unionByName(blank_lines(spark, sf_dir))
+    lines = every.orderBy("block", "kind", "value")
     lines.select("value").write.text(text)
     write_csv(ingest_track_lines(spark, text), csv)
     return csv

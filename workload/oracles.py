@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from stormledger.schemas import RECORD_LABELS, STATUS_LABELS, WIND_SCALE
-
-
-def _literal(value) -> str:
-    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
-
-
-def _case(column: str, labels: dict[str, str]) -> str:
-    arms = " ".join(f"WHEN {_literal(k)} THEN {_literal(v)}" for k, v in labels.items())
-    return f"CASE {column} {arms} END"
+# Labels and scale spelled out again, so that a wrong value in the library does not pass.
+_STATUS = """CASE stat WHEN 'HU' THEN 'hurricane' WHEN 'TS' THEN 'tropical storm' WHEN 'EX' THEN 'extratropical cyclone'
+      WHEN 'TD' THEN 'tropical depression' WHEN 'LO' THEN 'low pressure system' WHEN 'WV' THEN 'tropical wave' END"""
+_RECORD = "CASE rec WHEN '' THEN '' WHEN 'L' THEN 'landfall' WHEN 'I' THEN 'pressure and wind intensity peak' END"
 
 
 def _category(wind: str, status: str) -> str:
@@ -19,9 +13,12 @@ def _category(wind: str, status: str) -> str:
       WHEN {wind}>=83 THEN '2' WHEN {wind}>=64 THEN '1' WHEN {wind}<64 THEN {status} ELSE 'uncategorized' END"""
 
 
-_SCALE = "scale(storm_category, min_kt, max_kt, damage) AS (VALUES {})".format(
-    ", ".join("({})".format(", ".join(map(_literal, row))) for row in WIND_SCALE)
-)
+_SCALE = """scale(storm_category, min_kt, max_kt, damage) AS (VALUES
+    ('1', 64, 82, 'Power outages that could last a few to several days.'),
+    ('2', 83, 95, 'Near-total power loss is expected with outages that could last from several days to weeks.'),
+    ('3-MAJOR', 96, 112, 'Electricity and water will be unavailable for several days to weeks after the storm passes.'),
+    ('4-MAJOR', 113, 136, 'Catastrophic damage will occur; most of the area will be uninhabitable for weeks or months.'),
+    ('5-MAJOR', 137, 1000000, 'Catastrophic damage will occur; most of the area will be uninhabitable for weeks or months.'))"""
 
 # The feed: typed columns next to the line text that decides the order of lines.
 _LINES = f"""
@@ -44,10 +41,11 @@ lines AS (
   UNION ALL
   SELECT block, kind, strftime(l_shipdate,'%Y%m%d')||', '||lpad(CAST(line*300 AS VARCHAR),4,'0')||', '||rec||', '||stat
     ||', '||la//10||'.'||la%10||ns||', '||lo//10||'.'||lo%10||ew
-    ||', '||CASE WHEN line=7 THEN 'n/a' ELSE CAST(qty+line*20 AS VARCHAR) END
-    ||', '||CASE WHEN no_pressure THEN '-999' ELSE CAST(qty+880 AS VARCHAR) END,
+    ||', '||CASE WHEN line=7 THEN 'n/a' WHEN line=4 THEN CAST(qty+line*20 AS VARCHAR)||'.0' ELSE CAST(qty+line*20 AS VARCHAR) END
+    ||', '||CASE WHEN no_pressure THEN '-999' ELSE CAST(qty+880 AS VARCHAR) END
+    ||CASE WHEN line=5 THEN ', 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25' ELSE '' END,
     NULL, NULL, NULL, CAST(l_shipdate AS DATE), lpad(CAST(line*300 AS VARCHAR),4,'0'),
-    {_case('rec', RECORD_LABELS)}, {_case('stat', STATUS_LABELS)},
+    {_RECORD}, {_STATUS},
     CASE ns WHEN 'N' THEN 1 ELSE -1 END * (la/10.0::DOUBLE) + 0.0::DOUBLE,
     CASE ew WHEN 'E' THEN 1 ELSE -1 END * (lo/10.0::DOUBLE) + 0.0::DOUBLE,
     CASE WHEN line<>7 THEN CAST(qty+line*20 AS INTEGER) END,
@@ -92,6 +90,9 @@ fact AS (SELECT swl_id, storm_id, name_id, storm_name, birth_name AS baby_name,
 
 _FULL_FACT = ", ".join([_LINES, _LANDFALLS, _NAMES, _FACT])
 
+_MAX_ALL = """SELECT storm_name, storm_year, storm_status, storm_category, baby_name, baby_birth_year, state_code,
+  max(CAST(name_count AS INTEGER)) AS max_name_count FROM fact GROUP BY ALL"""
+
 _MAX = """SELECT storm_name, storm_year, storm_status, storm_category, baby_name, baby_birth_year, state_code,
   max(CAST(name_count AS INTEGER)) AS max_name_count FROM fact WHERE {} GROUP BY ALL"""
 
@@ -127,7 +128,7 @@ SQL = {
       storm_id, basin, atcf_cyclone_num, storm_name, storm_date, storm_year, storm_time, record_identifier, storm_status,
       storm_category, latitude, longitude, max_sustained_wind_kt, min_pressure_mbar FROM pairs""",
     "q_track_ingest": f"""WITH {_LINES} SELECT line_id, {', '.join(
-        f"nullif(split_part(value, ',', {i + 1}), '') AS field_{i}" for i in range(9))} FROM feed""",
+        f"nullif(split_part(value, ',', {i + 1}), '') AS field_{i}" for i in range(25))} FROM feed""",
     "q_landfall": f"""WITH {_LINES}, {_LANDFALLS} SELECT storm_id, storm_name, storm_date, storm_time, latitude, longitude, state
       FROM located""",
     "q_landfall_ids": f"WITH {_LINES}, {_LANDFALLS} SELECT * FROM landfalls",
@@ -143,25 +144,37 @@ SQL = {
     "q_fact_max_storm": f"WITH {_FULL_FACT} "
     + _MAX.format("storm_name='HOT BOLT' AND storm_year=1999 AND baby_birth_year IN ('1906','1911','1933')")
     + " ORDER BY baby_birth_year",
-    "q_fact_max_all_states": f"WITH {_FULL_FACT} "
-    + _MAX.format("CAST(baby_birth_year AS INTEGER) BETWEEN 1910 AND 1919")
-    + " ORDER BY baby_birth_year",
-    "q_fact_max_from_dims": f"WITH {_FULL_FACT} "
-    + _MAX.format("CAST(baby_birth_year AS INTEGER) BETWEEN 1910 AND 1919"),
-    "q_missing": """SELECT CAST(count(*) FILTER (nullif(event_type,'error') IS NULL) AS BIGINT) AS event_type_missing,
-      CAST(count(*) FILTER (value>200 OR value IS NULL) AS BIGINT) AS value_missing FROM events""",
-    "q_duplicates": """SELECT CAST(count(*) AS BIGINT) AS n_duplicate_groups FROM
-      (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*)>1)""",
+    "q_fact_max_all_states": f"WITH {_FULL_FACT} {_MAX_ALL} ORDER BY baby_birth_year",
+    "q_fact_max_from_dims": f"WITH {_FULL_FACT} {_MAX_ALL}",
+    "q_missing": f"""WITH {_LINES}, m(feed, column_name, lost) AS (
+      {' UNION ALL '.join(
+        f"SELECT 'tracks', '{i}', count(*) FILTER (split_part(value, ',', {i + 1}) = '') FROM lines" for i in range(25))}
+      UNION ALL SELECT 'tracks', '_c0', 0
+      {' '.join(f"UNION ALL SELECT 'names', '{n}', count(*) FILTER ({c} IS NULL) FROM part" for n, c in [
+        ('state_code', 'p_brand'), ('sex', 'p_type'), ('birth_year', 'p_size'), ('birth_name', 'p_name'), ('count', 'p_partkey')])}
+      {' '.join(f"UNION ALL SELECT 'states', '{n}', count(*) FILTER ({c} IS NULL) FROM customer" for n, c in [
+        ('State', 'c_name'), ('State Code', 'c_custkey'), ('Region', 'c_mktsegment'), ('Division', 'c_nationkey')])}
+      UNION ALL SELECT 'events', 'event_type', count(*) FILTER (nullif(event_type,'error') IS NULL) FROM events
+      UNION ALL SELECT 'events', 'value', count(*) FILTER (value>200 OR value IS NULL) FROM events
+      {' '.join(f"UNION ALL SELECT 'events', '{c}', count(*) FILTER ({c} IS NULL) FROM events"
+        for c in ['event_id', 'ts', 'user_id', 'props'])})
+      SELECT feed, column_name, CAST(lost AS BIGINT) AS n_missing FROM m""",
+    "q_duplicates": """WITH twice AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber=2)
+      SELECT CAST(count(*) AS BIGINT) AS n_duplicate_groups FROM (SELECT count(*) AS n FROM twice GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+      l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) WHERE n>1""",
     "q_ragged": f"""WITH {_LINES} SELECT CAST(count(*) FILTER (nullif(split_part(value,',',4),'') IS NULL) AS BIGINT) AS short_rows,
       CAST(count(*) AS BIGINT) AS all_rows FROM lines""",
     "q_check_blocks": f"""WITH {_LINES}, e AS (SELECT (SELECT count(*) FROM feed) AS expected,
       (SELECT count(*) FROM headers)+(SELECT count(*) FROM pairs) AS actual)
       SELECT 'storms' AS check_name, CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual,
       expected=actual AS passed FROM e""",
-    "q_check_names": """SELECT 'names' AS check_name, CAST(count(*) AS BIGINT) AS expected, CAST(count(*) AS BIGINT) AS actual,
-      true AS passed FROM part""",
-    "q_check_states": """SELECT 'states' AS check_name, CAST(count(*) AS BIGINT) AS expected, CAST(count(*) AS BIGINT) AS actual,
-      true AS passed FROM customer""",
+    "q_check_names": f"""WITH {_NAMES}, e AS (SELECT (SELECT count(*) FROM part) AS expected, (SELECT count(*) FROM names) AS actual,
+      (SELECT count(*) FROM names WHERE birth_name IS NULL OR birth_year IS NULL) AS lost)
+      SELECT 'names' AS check_name, CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual,
+      CAST(lost AS BIGINT) AS null_keys, expected=actual AND lost=0 AS passed FROM e""",
+    "q_check_states": """SELECT 'states' AS check_name, CAST(count(*) AS BIGINT) AS expected,
+      CAST(count(*) FILTER (c_acctbal>=0)+count(*) FILTER (c_acctbal<0) AS BIGINT) AS actual,
+      CAST(count(*) FILTER (c_acctbal<0) AS BIGINT) AS null_keys, count(*) FILTER (c_acctbal<0)=0 AS passed FROM customer""",
     "q_check_coords": f"""WITH {_LINES}, e AS (SELECT CAST(count(*) FILTER (latitude IS NULL OR abs(latitude)>90) AS BIGINT) AS bad_latitude,
       CAST(count(*) FILTER (longitude IS NULL OR abs(longitude)>180) AS BIGINT) AS bad_longitude FROM stats)
       SELECT *, bad_latitude=0 AND bad_longitude=0 AS passed FROM e""",
@@ -180,4 +193,16 @@ SQL = {
       CAST(c_nationkey AS VARCHAR) AS division FROM customer WHERE c_acctbal>=0""",
     "q_decades": """SELECT CAST(year(o_orderdate)//10*10 AS INTEGER) AS decade, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1""",
     "q_build_all": _FACT_WITH_ID,
+    "q_stored_states": f"""WITH {_LINES}, {_LANDFALLS} SELECT CAST(row_number() OVER (ORDER BY state, k.state_code) AS BIGINT) AS state_id,
+      k.state_code, state, r_name AS region, k.state_code AS division FROM known k JOIN nation ON n_name=state
+      JOIN region ON n_regionkey=r_regionkey""",
+    "q_stored_headers": f"WITH {_LINES} SELECT * FROM headers",
+    "q_stored_stats": f"""WITH {_LINES} SELECT CAST(stat_id AS VARCHAR) AS "index", storm_date, storm_year, storm_month, storm_day,
+      storm_time, record_identifier, storm_status, storm_category AS category, latitude, longitude, max_sustained_wind_kt,
+      min_pressure_mbar FROM stats""",
+    "q_stored_names": f"WITH {_NAMES} SELECT * FROM names",
+    "q_stored_landfalls": f"WITH {_LINES}, {_LANDFALLS} SELECT * FROM landfalls",
+    "q_fact_glob": _FACT_WITH_ID,
+    "q_fact_first": f"{_FACT_WITH_ID} ORDER BY bsn_id LIMIT 25",
 }
+SQL["q_stored_tracks"] = SQL["q_track_ids"]

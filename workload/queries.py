@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.functions import decade_of, label, signed_degrees, wind_category
 from stormledger.operators import block_join, duplicate_groups, global_row_id, missing_values
 from stormledger.operators.profile import ragged_count
-from stormledger.operators.staging import scratch_path
+from stormledger.operators.staging import scratch_path, stage
 from stormledger.plans import (
     coordinate_check,
     landfall_completeness,
@@ -38,7 +40,6 @@ from stormledger.sources import (
     read_tables,
     read_track_csv,
     wind_scale_table,
-    write_csv,
     write_json,
     write_partitioned,
 )
@@ -81,8 +82,16 @@ def name_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def states(spark: SparkSession, sf: str) -> DataFrame:
+    """Records under lower-case keys, the header among the data, read without naming a key."""
     path = scratch_path(spark, "states")
-    write_json(customer_states(spark, sf), path)
+    records = customer_states(spark, sf).toDF("state", "state_code", "region", "division")
+    header = spark.range(1).select(
+        F.lit("State").alias("state"),
+        F.lit("State Code").alias("state_code"),
+        F.lit("Region").alias("region"),
+        F.lit("Division").alias("division"),
+    )
+    write_json(records.unionByName(header), path)
     return states_dimension(read_states_json(spark, path))
 
 
@@ -148,7 +157,7 @@ def track_ingest(spark: SparkSession, sf: str) -> DataFrame:
     raw = read_track_csv(spark, stored(write_track_feed, spark, sf, anew=True))
     return raw.select(
         F.col("_c0").cast("bigint").alias("line_id"),
-        *(F.col(str(i)).alias(f"field_{i}") for i in range(9)),
+        *(F.col(c).alias(f"field_{c}") for c in raw.columns if c != "_c0"),
     )
 
 
@@ -205,27 +214,43 @@ def fact_max_storm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_max_all_states(spark: SparkSession, sf: str) -> DataFrame:
-    fact = built(spark, sf, "names_by_person_and_storm")
-    return max_name_counts(fact, birth_years=list(range(1910, 1920)))
+    """The whole fact, no condition."""
+    return max_name_counts(built(spark, sf, "names_by_person_and_storm"))
 
 
 def fact_max_from_dims(spark: SparkSession, sf: str) -> DataFrame:
     """The same answer without building the fact."""
     landfalls = built(spark, sf, "storms_with_us_landfall")
     names = finish_names(parse_name_lines(name_lines(spark, sf)))
-    return max_name_counts_from_dims(landfalls, names, list(range(1910, 1920)))
+    return max_name_counts_from_dims(landfalls, names)
 
 
 def missing(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select(
-        F.nullif("event_type", F.lit("error")).alias("event_type_missing"),
-        F.when(F.col("value") > 200, float("nan")).otherwise(F.col("value")).alias("value_missing"),
+    """Every column of the events and of the three raw feeds: one row per feed and column."""
+    events = table(spark, sf, "events").withColumns(
+        {
+            "event_type": F.nullif("event_type", F.lit("error")),
+            "value": F.when(F.col("value") > 200, float("nan")).otherwise(F.col("value")),
+        }
     )
-    return missing_values(events)
+    feeds = {
+        "events": events,
+        "names": parse_name_lines(name_lines(spark, sf)),
+        "states": customer_states(spark, sf),
+        "tracks": raw_tracks(spark, sf),
+    }
+    parts = []
+    for feed, df in feeds.items():
+        pairs = [x for c in df.columns for x in (F.lit(c), F.col(f"`{c}`"))]
+        counts = F.explode(F.create_map(*pairs)).alias("column_name", "n_missing")
+        parts.append(missing_values(df).select(F.lit(feed).alias("feed"), counts))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    return duplicate_groups(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """Whole rows, all columns, in a feed where some lines came twice."""
+    items = table(spark, sf, "lineitem")
+    return duplicate_groups(items.unionByName(items.where("l_linenumber = 2")))
 
 
 def ragged(spark: SparkSession, sf: str) -> DataFrame:
@@ -240,13 +265,16 @@ def check_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_names(spark: SparkSession, sf: str) -> DataFrame:
-    lines = name_lines(spark, sf)
-    return names_completeness(lines, names_dimension(lines))
+    """Feed lines against the stored table."""
+    return names_completeness(name_lines(spark, sf), built(spark, sf, "names_by_state"))
 
 
 def check_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Fails as it should: customers in debt have lost their code."""
     raw = customer_states(spark, sf)
-    return states_completeness(raw, states_dimension(raw))
+    debts = table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_name").alias("State"), F.lit(True).alias("lost"))
+    coded = raw.join(debts, "State", "left").withColumn("State Code", F.when(F.col("lost").isNull(), F.col("State Code")))
+    return states_completeness(raw, states_dimension(stage(coded.drop("lost"))))
 
 
 def check_coords(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,13 +308,16 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """CSV, with an extra field in the lines of overdrawn customers -> JSON records -> table."""
+    """CSV in another column order, with an extra field in the lines of overdrawn customers -> JSON records -> table."""
     csv, json = scratch_path(spark, "states-csv"), scratch_path(spark, "states-json")
-    overdrawn = F.when(F.col("c_acctbal") < 0, "extra").alias("extra")
+    longer = F.when(F.col("c_acctbal") < 0, F.concat("c_name", F.lit(",extra"))).otherwise(F.col("c_name"))
     lines = table(spark, sf, "customer").select(
-        "c_name", "c_custkey", "c_mktsegment", "c_nationkey", overdrawn
+        F.col("c_nationkey").alias("Division"),
+        F.col("c_custkey").alias("state_code"),
+        F.col("c_mktsegment").alias("REGION"),
+        longer.alias("State"),
     )
-    write_csv(lines, csv)
+    lines.write.option("quote", "").csv(csv, header=True)  # unquoted: the extra field is one
     write_json(read_states_csv(spark, csv), json)
     return read_states_json(spark, json).withColumnsRenamed(
         {"State": "state", "State Code": "state_code", "Region": "region", "Division": "division"}
@@ -306,6 +337,25 @@ def build_all(spark: SparkSession, sf: str) -> DataFrame:
     return open_table(spark, out, "names_by_person_and_storm")
 
 
+def stored_table(name: str, **renamed: str):
+    """Query that reads a stored table back whole."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return built(spark, sf, name).withColumnsRenamed(renamed)
+
+    return query
+
+
+def fact_by_glob(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored fact, found by a pattern."""
+    return read_tables(spark, f"{stored(write_all_tables, spark, sf)}/fact_tables/names_by_person*")
+
+
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of the fact in a total order."""
+    return built(spark, sf, "names_by_person_and_storm").orderBy("bsn_id").limit(25)
+
+
 # The first two leave the feed and the tables that the others read; without them, whichever
 # query needs these first writes them.
 QUERIES = {
@@ -342,4 +392,12 @@ QUERIES = {
     "q_parquet_roundtrip": parquet_roundtrip,
     "q_text_roundtrip": text_roundtrip,
     "q_decades": decades,
+    "q_stored_states": stored_table("state_data"),
+    "q_stored_headers": stored_table("storm_headers"),
+    "q_stored_stats": stored_table("storm_stats"),
+    "q_stored_tracks": stored_table("atlantic_storms"),
+    "q_stored_names": stored_table("names_by_state", count="name_count"),
+    "q_stored_landfalls": stored_table("storms_with_us_landfall"),
+    "q_fact_glob": fact_by_glob,
+    "q_fact_first": first_rows,
 }
