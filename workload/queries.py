@@ -34,6 +34,7 @@ from stormledger.plans import (
 )
 from stormledger.plans.dims import finish_names
 from stormledger.sources import (
+    preview,
     read_name_lines,
     read_states_csv,
     read_states_json,
@@ -352,8 +353,8 @@ def fact_by_glob(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """The first rows of the fact in a total order."""
-    return built(spark, sf, "names_by_person_and_storm").orderBy("bsn_id").limit(25)
+    """The first rows of the fact in a total order, printed and returned."""
+    return preview(built(spark, sf, "names_by_person_and_storm").orderBy("bsn_id"), 25)
 
 
 # The first two leave the feed and the tables that the others read; without them, whichever
