@@ -10,7 +10,7 @@ agrees with the item on all coordinates of any sample is verified by exact edit
 item-sized window, and counts up to ``EDITS`` of the item's length.
 
 Recall: an item with d edits in the embedded stretch of ``STEPS`` coordinates differs in some share s of them; one
-anchor finds it with 1 - (1 - (1 - s)**BITS)**(WALKS * SAMPLES), 0.99 at s = 0.3, and an item has up to
+anchor finds it with 1 - (1 - (1 - s)**BITS)**(WALKS * SAMPLES), 0.999 at s = 0.3, and an item has up to
 ``ANCHORS`` of them. A text is missed only if every anchor word or every sample is hit by an edit.
 
 The items are broadcast in parts of at most ``PART_BYTES``, one pass over the texts for each; texts are not
@@ -33,11 +33,11 @@ from .common import slices
 from .minhash import constants, mix
 from .quality import text_bytes
 
-ANCHORS = 12
-STEPS = 128
-WALKS = 2
-SAMPLES = 12
-BITS = 5
+ANCHORS = 8
+STEPS = 96
+WALKS = 3
+SAMPLES = 20
+BITS = 6
 EDITS = 0.2
 PART_BYTES = 8 << 20
 HITS = 8192
@@ -108,7 +108,7 @@ class Items:
     item: np.ndarray
     offset: np.ndarray
     direction: np.ndarray
-    steps: np.ndarray  # coordinates of the record that its text can fill
+    places: np.ndarray  # WALKS x SAMPLES x BITS x records: sampled coordinates, beyond those of the anchor word
     embedding: np.ndarray  # WALKS x STEPS x records
 
 
@@ -128,17 +128,20 @@ def prepare(items: list[tuple[int, str]]) -> Items | None:
             forward = n - offset >= offset + int(size[r])
             start = offset if forward else offset + int(size[r]) - 1
             length = n - offset if forward else start + 1
-            rows.append((int(key[r]), len(ids), start, 1 if forward else -1, min(STEPS, max(8, length * 5 // 4))))
+            fill = min(STEPS, max(8, length * 5 // 4))  # coordinates that the text can fill
+            rows.append((int(key[r]), len(ids), start, 1 if forward else -1, min(2 * int(size[r]), fill // 2), fill))
             emitted.append(embed(form[:n], np.array([start]), np.array([1 if forward else -1]))[:, :, 0])
         ids.append(item_id)
         forms.append(form[int(at[0]) : n].tobytes())
         shift = int(at[0])
-        rows[-len(rank) :] = [(k, i, s - shift, d, c) for k, i, s, d, c in rows[-len(rank) :]]
+        rows[-len(rank) :] = [(k, i, s - shift, *rest) for k, i, s, *rest in rows[-len(rank) :]]
     if not rows:
         return None
     order = sorted(range(len(rows)), key=lambda i: rows[i])
-    word, item, offset, direction, steps = (np.array([rows[i][c] for i in order], t) for c, t in enumerate((np.uint64, np.int64, np.int64, np.int64, np.int64)))
-    return Items(ids, forms, word, item, offset, direction, steps, np.stack([emitted[i] for i in order], axis=2))
+    word = np.array([rows[i][0] for i in order], np.uint64)
+    item, offset, direction, skip, fill = (np.array([rows[i][c] for i in order], np.int64) for c in range(1, 6))
+    places = (skip + PLACES[..., None] * (fill - skip)).astype(np.int64)
+    return Items(ids, forms, word, item, offset, direction, places, np.stack([emitted[i] for i in order], axis=2))
 
 
 def best_match(pattern: bytes, text: bytes, most: int) -> tuple[int, int]:
@@ -188,15 +191,17 @@ def candidates(form: np.ndarray, stop: np.ndarray, items: Items) -> tuple[np.nda
 
 
 def agree_on_a_sample(form, start, way, items: Items, record) -> np.ndarray:
-    same = embed(form, start, way) == items.embedding[:, :, record]
+    own = embed(form, start, way)
     found = np.zeros(len(record), bool)
-    rows = np.arange(len(record))
     for w in range(WALKS):
         for s in range(SAMPLES):
-            agree = np.ones(len(record), bool)
-            for u in PLACES[w, s]:
-                agree &= same[w, (u * items.steps[record]).astype(np.int64), rows]
-            found |= agree
+            left = np.flatnonzero(~found)
+            for b in range(BITS):  # most windows fall out at the first coordinates
+                at = items.places[w, s, b, record[left]]
+                left = left[own[w, at, left] == items.embedding[w, at, record[left]]]
+                if not len(left):
+                    break
+            found[left] = True
     return found
 
 
