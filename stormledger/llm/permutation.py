@@ -40,6 +40,7 @@ RERANK = 0.2
 SAMPLE = 1024
 FILE_BLOCK = 4096
 QUERY_BLOCK = 1024
+PARTS = 64
 LEAST_PROBES = 16
 LEAST_RERANK = 64
 
@@ -72,8 +73,10 @@ def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
             )
 
     few = rows.select("id", "vec").mapInArrow(local, "key binary, id long")
-    once = few.distinct()
-    return once.groupBy("key").agg(F.slice(F.array_sort(F.collect_list("id")), 1, ids).alias("ids"))
+    # twice, so that no task gathers what all tasks kept of a very common vector
+    least = F.slice(F.array_sort(F.collect_set("id")), 1, ids).alias("ids")
+    parts = few.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(PARTS)).alias("part")).agg(least)
+    return parts.select("key", F.explode("ids").alias("id")).groupBy("key").agg(least)
 
 
 def draw_pivots(index: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
