@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import fresh_folder, slices, stage
 
 ROLL_BYTES = 256 << 20
-STRETCH_BYTES = 32 << 20
+STRETCH_BYTES = 8 << 20
 READ_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
 LEAST_REVISIT_BYTES = 1000
@@ -59,6 +59,7 @@ def mark_revisits(pages: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) -> D
         .where("copies > 1")
         .drop("copies")
     )
+    shared = stage(shared, "shared-payloads")  # both sides of the join are scans, so that it can split a hot payload
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     return rows.join(shared, ["digest", "size"], "left").select(
         "page_id",
@@ -224,10 +225,12 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
             ("payload", pa.binary()),
         ]
     )
+    # The index is small next to what its rows stand for, so tasks are counted by the bytes to read.
+    total = index.agg(F.sum("length")).first()[0] or 0
     ordered = (
         index.select("folder", "file", "offset", "length")
         .withColumn("stretch", F.floor(F.col("offset") / STRETCH_BYTES))
-        .repartition("file", "stretch")
+        .repartition(max(1, -(-2 * total // STRETCH_BYTES)), "file", "stretch")
         .sortWithinPartitions("file", "offset")
         .drop("stretch")
     )
