@@ -289,9 +289,11 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("anchor", (F.col("low") < F.col("high")).alias("mixed"))
     )
+    again = stage(again, "repeated-anchors")  # both sides of the join are scans, so that it can split hot anchors
     repeated = stage(unpacked(seen.join(again, "anchor")), "repeated")
     discard(seen)
-    copied = repeated.groupBy("anchor", "segment", "mixed").agg(F.count("*").alias("copies"))
+    copied = repeated.groupBy("anchor", "segment").agg(F.count("*").alias("copies")).where("copies > 1")
+    copied = stage(copied.select("anchor", "segment"), "copied")
     place = F.struct("k1", "k2", "pos", "back", "ahead")
     kinds = (
         repeated.where("mixed")
@@ -308,7 +310,7 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
         few, many = kinds.join(large, "anchor", "left_anti"), kinds.join(large, "anchor", "left_semi")
         shared = shared_windows(cut_segments(rows, few)).unionByName(shared_windows_by_hash(cut_segments(rows, many)))
     once = kinds.where("copies = 1").join(shared, ["anchor", "segment"])
-    whole = repeated.join(copied.where("copies > 1").select("anchor", "segment"), ["anchor", "segment"])
+    whole = repeated.join(copied, ["anchor", "segment"])
     spans = once.select("k1", "k2", (F.col("pos") + F.col("start")).alias("start"), (F.col("pos") + F.col("stop")).alias("stop"))
     spans = spans.unionByName(
         whole.select("k1", "k2", (F.col("pos") - F.col("back")).alias("start"), (F.col("pos") + F.col("ahead")).alias("stop"))
