@@ -324,6 +324,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .where("copies > 1")
         .drop("copies")
     )
+    copies = stage(copies, "copies")  # both sides of the join are scans, so that it can split a hot set
     member = rows.join(copies, ["set_a", "set_b", "n_shingles"], "left").select(
         "doc_id",
         "n_shingles",
@@ -333,6 +334,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     member = stage(member, "members")
     in_band = member.where(usable & F.col("bands").isNotNull()).select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     buckets = in_band.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("top")).where("low < top").select("key")
+    buckets = stage(buckets, "keys")
     met = stage(in_band.join(buckets, "key"), "buckets")  # every member of every bucket of two or more
     involved = met.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
