@@ -1,17 +1,19 @@
 """Benchmark decontamination under edit distance.
 
 Texts and items are compared in a plain form: letters of ASCII and Latin-1 lowered, every run of other ASCII
-characters but digits one space, all other bytes as they are. A window of a text is as long as an item and aligned with it
-by one of the item's ``ANCHORS`` longest words. From the anchor on, towards the longer side of the
-item, the CGK random walk embeds both strings: it emits the byte under its pointer and a random bit that depends
-on step and byte moves the pointer, so that strings a few edits apart fall into step again and edit distance
+characters but digits one space, all other bytes as they are. A window of a text is as long as an item and aligned with it by any ``GRAM`` bytes that both have, wherever
+they stand: no words are needed, so scripts without spaces and glued words are no special case. From these bytes on,
+towards the longer side of the item, the CGK random walk embeds both strings: it emits the byte under its pointer and
+a random bit that depends on step and byte moves the pointer, so that strings a few edits apart fall into step again and edit distance
 becomes Hamming distance. ``WALKS * SAMPLES`` samples of ``BITS`` coordinates each are drawn; a window that
 agrees with the item on all coordinates of any sample is verified by exact edit distance on the
 item-sized window, and counts up to ``EDITS`` of the item's length.
 
 Recall: an item with d edits in the embedded stretch of ``STEPS`` coordinates differs in some share s of them; one
-anchor finds it with 1 - (1 - (1 - s)**BITS)**(WALKS * SAMPLES), 0.999 at s = 0.3, and an item has up to
-``ANCHORS`` of them. A text is missed only if every anchor word or every sample is hit by an edit.
+anchor finds it with 1 - (1 - (1 - s)**BITS)**(WALKS * SAMPLES), 0.999 at s = 0.3, and every place of the item is an
+anchor. A text is missed only if no ``GRAM`` bytes stand untouched or every sample of every anchor is hit by an edit;
+the target is 0.97 up to ``EDITS``. The walk covers about ``STEPS / 2`` bytes from the anchor; anchors in all parts of
+the item sample the rest, and the exact check sees the whole. Items of fewer than ``SHORT`` bytes are found without sampling: one of the pieces between their edits stands untouched.
 
 The items are broadcast in parts of at most ``PART_BYTES``, one pass over the texts for each; texts are not
 shuffled. Defined cases: null, empty and wordless texts and items match nothing; items of equal text are all
@@ -21,7 +23,7 @@ reported; repeated rows of a text are each reported; further columns are ignored
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
@@ -30,17 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
-from .minhash import constants, mix
 from .quality import text_bytes
 
-ANCHORS = 8
+GRAM = 9
+SHORT = 64
 STEPS = 96
 WALKS = 3
 SAMPLES = 20
 BITS = 6
 EDITS = 0.2
 PART_BYTES = 8 << 20
-HITS = 8192
+RECORDS = 1 << 14
+KEPT_BYTES = 64 << 20
+CHUNK = 1 << 16
 
 PLAIN = np.arange(256, dtype=np.uint8)
 PLAIN[:128] = 32
@@ -51,6 +55,7 @@ PLAIN[65:91] = np.arange(97, 123)
 RANDOM = np.random.default_rng(20)
 WALK = RANDOM.integers(0, 2, (WALKS, STEPS, 256), dtype=np.uint8)
 PLACES = RANDOM.random((WALKS, SAMPLES, BITS))
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def plain(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,79 +74,106 @@ def plain(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return form[kept], np.searchsorted(kept, ends), kept
 
 
-def words_of(form: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, length, hash and text of every word of the plain form."""
-    inside = form != 32
-    opens = inside.copy()
-    opens[1:] &= ~inside[:-1]
-    edge = ends[:-1][ends[:-1] < len(form)]
-    opens[edge] = inside[edge]
-    at = np.flatnonzero(opens)
-    if not len(at):
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64), none
-    number = np.cumsum(opens) - 1
-    place = np.arange(len(form)) - at[np.maximum(number, 0)]
-    size = np.add.reduceat(inside.astype(np.int64), at)
-    weight = constants(1 << 21, int(place.max()) + 1)
-    value = np.where(inside, (form.astype(np.uint64) + np.uint64(1)) * weight[place], np.uint64(0))
-    return at, size, mix(np.add.reduceat(value, at)), np.searchsorted(ends, at, side="right")
-
-
-def embed(form: np.ndarray, at: np.ndarray, direction: np.ndarray) -> np.ndarray:
-    """CGK embeddings of the strings that start at ``at`` and run in ``direction``: one row of WALKS * STEPS bytes each."""
-    out = np.zeros((WALKS, STEPS, len(at)), np.uint8)
-    for w in range(WALKS):
-        here = at.copy()
-        for j in range(STEPS):
-            byte = np.where((here >= 0) & (here < len(form)), form[np.clip(here, 0, len(form) - 1)], 0).astype(np.uint8)
-            out[w, j] = byte
-            here += direction * WALK[w, j][byte]
+def grams(form: np.ndarray) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes from each place on."""
+    n = max(0, len(form) - GRAM + 1)
+    out = np.ndarray((n,), "<u8", form.tobytes() + bytes(8), strides=(1,)) * ODD
+    for k in range(8, GRAM):
+        out += form[k : n + k] * np.uint64(0xD6E8FEB86659FD93 + 2 * k)
     return out
 
 
+def embed(form: np.ndarray, at: np.ndarray, forward: np.ndarray) -> np.ndarray:
+    """CGK embeddings of the strings that start at ``at`` and run forward or backward: a row of WALKS * STEPS bytes for each.
+
+    ``form`` has a zero at both ends, which stands for what lies beyond.
+    """
+    order = np.argsort(forward, kind="stable")
+    backward = len(at) - int(forward.sum())
+    out = np.empty((WALKS * STEPS, len(at)), np.uint8)
+    for lo, hi, way in ((0, backward, -1), (backward, len(at), 1)):
+        for w in range(WALKS):
+            here = at[order[lo:hi]]
+            for j in range(STEPS):
+                byte = out[w * STEPS + j, lo:hi]
+                np.take(form, here, out=byte, mode="clip")
+                here += (WALK[w, j].astype(np.int64) * way).take(byte)
+    rows = np.empty((len(at), WALKS * STEPS), np.uint8)
+    rows[order] = out.T
+    return rows
+
+
+def sample_masks() -> np.ndarray:
+    """Bits of the coordinates of each sample for every number of coordinates filled: WALKS x SAMPLES x 2 x (STEPS + 1)."""
+    bits = np.zeros((WALKS, SAMPLES, STEPS + 1, 128), np.uint8)
+    for fill in range(8, STEPS + 1):
+        skip = min(2 * GRAM, fill // 2)
+        at = (skip + PLACES * (fill - skip)).astype(np.int64)
+        for w in range(WALKS):
+            for s in range(SAMPLES):
+                bits[w, s, fill, at[w, s]] = 1
+    return np.ascontiguousarray(np.packbits(bits, axis=3).view(np.uint64).transpose(0, 1, 3, 2))
+
+
 @dataclass
 class Items:
     ids: list[int]
     forms: list[bytes]
-    word: np.ndarray  # hash of the anchor word of each record, sorted
+    text: np.ndarray  # all forms, a zero before, between and after them
+    base: np.ndarray  # where each form starts in it
+    word: np.ndarray  # the bytes of each anchor, sorted
     item: np.ndarray
     offset: np.ndarray
-    direction: np.ndarray
-    places: np.ndarray  # WALKS x SAMPLES x BITS x records: sampled coordinates, beyond those of the anchor word
-    embedding: np.ndarray  # WALKS x STEPS x records
+    short: list[int]
+    tables: tuple | None = field(default=None)  # made once in a task
+
+    def length(self, item: np.ndarray) -> np.ndarray:
+        return np.diff(self.base, append=len(self.text))[item] - 1
+
+    def frames(self, record: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each runs forward, and the coordinates that the form can fill."""
+        n, offset = self.length(self.item[record]), self.offset[record].astype(np.int64)
+        forward = n - offset >= offset + GRAM
+        fill = np.minimum(STEPS, np.maximum(8, np.where(forward, n - offset, offset + GRAM) * 5 // 4))
+        return forward, fill
+
+    def embedding(self, record: np.ndarray, forward: np.ndarray) -> np.ndarray:
+        start = self.base[self.item[record]] + self.offset[record] + np.where(forward, 0, GRAM - 1)
+        return embed(self.text, start, forward)
+
+    def prepared(self) -> tuple:
+        """Filter of the anchors, and the embeddings of all of them if these are few."""
+        if self.tables is None:
+            shift = np.uint64(64 - min(27, max(16, len(self.word).bit_length() + 4)))
+            seen = np.zeros(1 << (64 - int(shift)), bool)
+            seen[self.word >> shift] = True
+            every = np.arange(len(self.word))
+            few = len(every) * WALKS * STEPS <= KEPT_BYTES
+            kept = self.embedding(every, self.frames(every)[0]) if few else None
+            self.tables = shift, seen, kept, sample_masks()
+        return self.tables
 
 
 def prepare(items: list[tuple[int, str]]) -> Items | None:
-    rows = []
-    ids, forms, emitted = [], [], []
+    ids, forms = [], []
     for item_id, text in items:
         data, ends = text_bytes(pa.array([text], pa.string()))
-        form, stop, _ = plain(data, ends)
-        at, size, key, _ = words_of(form, stop)
-        if not len(at):
-            continue
-        rank = np.lexsort((key, -size))[:ANCHORS]
-        n = int(at[-1] + size[-1])
-        for r in rank.tolist():
-            offset = int(at[r])
-            forward = n - offset >= offset + int(size[r])
-            start = offset if forward else offset + int(size[r]) - 1
-            length = n - offset if forward else start + 1
-            fill = min(STEPS, max(8, length * 5 // 4))  # coordinates that the text can fill
-            rows.append((int(key[r]), len(ids), start, 1 if forward else -1, min(2 * int(size[r]), fill // 2), fill))
-            emitted.append(embed(form[:n], np.array([start]), np.array([1 if forward else -1]))[:, :, 0])
-        ids.append(item_id)
-        forms.append(form[int(at[0]) : n].tobytes())
-        shift = int(at[0])
-        rows[-len(rank) :] = [(k, i, s - shift, *rest) for k, i, s, *rest in rows[-len(rank) :]]
-    if not rows:
+        form = plain(data, ends)[0].tobytes().strip(b" ")
+        if form:
+            ids.append(item_id)
+            forms.append(form)
+    if not ids:
         return None
-    order = sorted(range(len(rows)), key=lambda i: rows[i])
-    word = np.array([rows[i][0] for i in order], np.uint64)
-    item, offset, direction, skip, fill = (np.array([rows[i][c] for i in order], np.int64) for c in range(1, 6))
-    places = (skip + PLACES[..., None] * (fill - skip)).astype(np.int64)
-    return Items(ids, forms, word, item, offset, direction, places, np.stack([emitted[i] for i in order], axis=2))
+    short = [i for i, f in enumerate(forms) if len(f) < SHORT]
+    text = np.frombuffer(b"\0" + b"".join(f + b"\0" for f in forms), np.uint8)
+    size = np.array([len(f) for f in forms])
+    base = 1 + np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+    count = np.where(size < SHORT, 0, size - GRAM + 1)
+    item = np.repeat(np.arange(len(ids), dtype=np.int32), count)
+    offset = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+    word = grams(text)[base[item] + offset]
+    order = np.argsort(word, kind="stable")
+    return Items(ids, forms, text, base, word[order], item[order], offset[order].astype(np.int32), short)
 
 
 def best_match(pattern: bytes, text: bytes, most: int) -> tuple[int, int]:
@@ -173,38 +205,127 @@ def best_match(pattern: bytes, text: bytes, most: int) -> tuple[int, int]:
 
 def candidates(form: np.ndarray, stop: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, start in the plain form) of the windows that agree with an item on a sample."""
-    at, size, key, doc = words_of(form, stop)
-    out = [(np.zeros(0, np.int64),) * 3]
-    if len(at):
-        lo = np.searchsorted(items.word, key)
-        hits = np.flatnonzero(items.word[np.minimum(lo, len(items.word) - 1)] == key)
-        for block in range(0, len(hits), HITS):
-            hit = hits[block : block + HITS]
-            first, count = lo[hit], np.searchsorted(items.word, key[hit], side="right") - lo[hit]
-            record = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            pos, of, length = (np.repeat(x[hit], count) for x in (at, doc, size))
-            way = items.direction[record]
-            start = np.where(way > 0, pos, pos + length - 1)
-            found = agree_on_a_sample(form, start, way, items, record)
-            out.append((of[found], items.item[record[found]], (start - items.offset[record])[found]))
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def agree_on_a_sample(form, start, way, items: Items, record) -> np.ndarray:
+    out = [short_candidates(form, items)]
+    if len(items.word):
+        pos, first, count = anchors_in(form, items)
+        total = np.cumsum(count)
+        ringed = np.concatenate([[np.uint8(0)], form, [np.uint8(0)]])
+        for block in range(0, int(total[-1]) if len(total) else 0, RECORDS):
+            stop_at = min(block + RECORDS, int(total[-1]))
+            lo, hi = np.searchsorted(total, [block, stop_at - 1], side="right")
+            ends = np.minimum(total[lo : hi + 1], stop_at) - block
+            of = lo + np.repeat(np.arange(hi + 1 - lo), np.diff(ends, prepend=0))
+            record = first[of] + np.arange(block, stop_at) - (total[of] - count[of])
+            found = agree_on_a_sample(ringed, pos[of], of - lo, items, record)
+            out.append((items.item[record[found]].astype(np.int64), pos[of[found]] - items.offset[record[found]], pos[of[found]]))
+    item, start, at = (np.concatenate(x) for x in zip(*out))
+    return np.searchsorted(stop, at, side="right"), item, start
+
+
+def anchors_in(form: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places with the bytes of an anchor; first and number of the records of these bytes."""
+    shift, seen, *_ = items.prepared()
+    likely = []
+    for lo in range(0, len(form), CHUNK):  # small arrays stay in the processor's cache
+        key = grams(form[lo : lo + CHUNK + GRAM - 1])
+        at = np.flatnonzero(seen[key >> shift])
+        likely.append((at + lo, key[at]))
+    if not likely:
+        return (np.zeros(0, np.int64),) * 3
+    pos, key = (np.concatenate(x) for x in zip(*likely))
+    first = np.searchsorted(items.word, key)
+    hit = np.flatnonzero(items.word[np.minimum(first, len(items.word) - 1)] == key)
+    return pos[hit], first[hit], np.searchsorted(items.word, key[hit], side="right") - first[hit]
+
+
+def short_candidates(form: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, start, place of the piece) wherever one of the pieces of a short item stands, one more than it may have edits."""
+    rows = []
+    raw = form.tobytes() if items.short else b""
+    for i in items.short:
+        f = items.forms[i]
+        pieces = int(EDITS * len(f)) + 1
+        for p in range(pieces):
+            offset = p * len(f) // pieces
+            piece = f[offset : (p + 1) * len(f) // pieces]
+            at = raw.find(piece)
+            while at >= 0:
+                rows.append((i, at - offset, at))
+                at = raw.find(piece, at + 1)
+    return tuple(np.array(rows, np.int64).reshape(-1, 3).T)
+
+
+def agree_on_a_sample(form, pos, hit, items: Items, record) -> np.ndarray:
+    """Whether each record agrees with the text at ``pos`` on a sample; ``hit`` numbers the places in ascending order."""
+    forward, fill = items.frames(record)
+    spot = hit * 2 + forward  # a place is embedded once in each direction
+    used = np.zeros(2 * int(hit[-1]) + 2, np.int64)
+    used[spot] = 1
+    own_at = np.cumsum(used)[spot] - 1
+    start, way = np.empty(own_at.max() + 1, np.int64), np.empty(own_at.max() + 1, bool)
+    start[own_at], way[own_at] = pos + 1 + np.where(forward, 0, GRAM - 1), forward
     own = embed(form, start, way)
+    _, _, theirs, masks = items.prepared()
+    their_at = record
+    if theirs is None:
+        few, their_at = np.unique(record, return_inverse=True)
+        theirs = items.embedding(few, items.frames(few)[0])
+    equal = np.zeros((len(record), WALKS, 16), np.uint8)
+    equal[:, :, : STEPS // 8] = np.packbits(own[own_at] == theirs[their_at], axis=1).reshape(-1, WALKS, STEPS // 8)
+    equal = equal.view(np.uint64)
     found = np.zeros(len(record), bool)
-    for w in range(WALKS):
-        for s in range(SAMPLES):
-            left = np.flatnonzero(~found)
-            for b in range(BITS):  # most windows fall out at the first coordinates
-                at = items.places[w, s, b, record[left]]
-                left = left[own[w, at, left] == items.embedding[w, at, record[left]]]
-                if not len(left):
-                    break
-            found[left] = True
+    for full in (True, False):
+        which = np.flatnonzero((fill == STEPS) == full)
+        size = fill[which]
+        agree = np.zeros(len(which), bool)
+        for w in range(WALKS):
+            low, high = equal[which, w].T.copy()
+            for s in range(SAMPLES):
+                a, b = masks[w, s, :, STEPS] if full else (masks[w, s, 0].take(size), masks[w, s, 1].take(size))
+                agree |= ((low & a) == a) & ((high & b) == b)
+        found[which] = agree
     return found
 
 
+def pieces(text: bytes, size: int) -> np.ndarray:
+    """The ``size`` (at most 4) bytes from each place on as one number."""
+    t = np.frombuffer(text, np.uint8).astype(np.uint32)
+    n = max(0, len(t) - size + 1)
+    out = t[:n].copy()
+    for k in range(1, size):
+        out = out << np.uint32(8) | t[k : n + k]
+    return out
+
+
+def may_match(pattern: bytes, window: bytes, most: int) -> bool:
+    """False if too few pieces of three or four bytes stand within ``most`` places of their own: an edit spoils as many pieces.
+
+    ``window`` begins ``most`` bytes before the pattern's place and ends as many after it.
+    """
+    if len(window) != len(pattern) + 2 * most:
+        return False  # it lies outside the text
+    near = 2 * most + 1
+    rows = max(1, (1 << 22) // near)
+    for size in (3, 4):
+        p, t = pieces(pattern, size), pieces(window, size)
+        found = 0
+        for r in range(0, len(p), rows):
+            own = p[r : r + rows, None]
+            found += int((np.ndarray((len(own), near), t.dtype, t, r * 4, (4, 4)) == own).any(axis=1).sum())
+        if found < len(pattern) - size + 1 - size * most:
+            return False
+    return True
+
+
+def whole_characters(data: np.ndarray, start: int, stop: int, first: int) -> tuple[int, int]:
+    """The span widened to whole characters and counted from ``first``."""
+    while start > first and data[start] & 0xC0 == 0x80:
+        start -= 1
+    while stop < len(data) and data[stop] & 0xC0 == 0x80:
+        stop += 1
+    return start - first, stop - first
+
+
 def leaks_of(data: np.ndarray, ends: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
     """(text, item, distance, start, stop), start and stop in bytes of the original; the best per text and item."""
     form, stop, place = plain(data, ends)
@@ -213,14 +334,17 @@ def leaks_of(data: np.ndarray, ends: np.ndarray, items: Items) -> list[tuple[int
     begin = np.concatenate([[0], stop[:-1]])
     first = np.concatenate([[0], ends[:-1]])
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    tried: set[tuple[int, int, int]] = set()
-    for d, i, s in sorted(zip(docs.tolist(), item.tolist(), start.tolist())):
+    verified: dict[tuple[int, int], int] = {}
+    for d, i, s in sorted(set(zip(docs.tolist(), item.tolist(), start.tolist()))):
         pattern = items.forms[i]
         most = int(EDITS * len(pattern))
-        cell = (d, i, s // (most + 1))
-        if cell in tried or best.get((d, i), (1,))[0] == 0:
+        if s - verified.get((d, i), s - most - 2) <= most + 1 or best.get((d, i), (1,))[0] == 0:
+            continue
+        at, past = s - most, s + len(pattern) + most
+        window = raw[max(at, int(begin[d])) : min(past, int(stop[d]))]
+        if not may_match(pattern, bytes(max(0, int(begin[d]) - at)) + window + bytes(max(0, past - int(stop[d]))), most):
             continue
-        tried.add(cell)
+        verified[d, i] = s  # its window holds those of the next ``most + 1`` places
         lo, hi = max(int(begin[d]), s - 2 * most - 1), min(int(stop[d]), s + len(pattern) + 2 * most + 2)
         text = raw[lo:hi]
         exact = text.find(pattern)
@@ -232,7 +356,7 @@ def leaks_of(data: np.ndarray, ends: np.ndarray, items: Items) -> list[tuple[int
             from_ = end - length
         else:
             from_ = exact
-        span = (distance, int(place[lo + from_] - first[d]), int(place[lo + end - 1] + 1 - first[d]))
+        span = (distance, *whole_characters(data, int(place[lo + from_]), int(place[lo + end - 1]) + 1, int(first[d])))
         best[d, i] = min(best.get((d, i), span), span)
     return [(d, i, *v) for (d, i), v in sorted(best.items())]
 

@@ -88,3 +88,34 @@ def test_odd_input_and_several_parts(spark, docs_of, items, monkeypatch):
     assert decontam.find_leaks(docs_of([]), both).count() == 0
     assert decontam.find_leaks(docs, odd.limit(0)).count() == 0
     assert decontam.drop_contaminated(docs, odd.limit(0)).count() == 7
+
+
+def leaks(texts, rows):
+    prepared = decontam.prepare(rows)
+    data, ends = decontam.text_bytes(pa.array(texts))
+    return {(d, prepared.ids[i]): (n, *span) for d, i, n, *span in decontam.leaks_of(data, ends, prepared)}
+
+
+@pytest.mark.parametrize("rate", [0.13, 0.15, 0.2])
+def test_recall_up_to_the_limit(items, documents, rate):
+    """Of the planted items that are within EDITS by the exact distance, the target recall of the docstring is found."""
+    rng = random.Random(11)
+    rows = [(r.item_id, r.text) for r in items.collect()]
+    filler = [r.text for r in documents.limit(len(rows)).collect()]
+    texts = [f"{f[:400]}\n{edited(t, rate, rng)}!\n{f[:300]}" for f, (_, t) in zip(filler, rows)]
+    prepared = decontam.prepare(rows)
+    data, ends = decontam.text_bytes(pa.array(texts))
+    form, stop, _ = decontam.plain(data, ends)
+    begin = [0, *stop.tolist()]
+    true = set()
+    for d, p in enumerate(prepared.forms):
+        most = int(decontam.EDITS * len(p))
+        if decontam.best_match(p, form.tobytes()[begin[d] : begin[d + 1]], most)[0] <= most:
+            true.add((d, rows[d][0]))
+    assert len(true) > 0.9 * len(rows) and len(true & leaks(texts, rows).keys()) >= 0.97 * len(true)
+
+
+def test_short_items_are_found_with_edits():
+    assert leaks(["they say the quick brwn fox jumqs here"], [(1, "the quick brown fox jumps"), (2, "wholly other words")]) == {
+        (0, 1): (2, 9, 33)
+    }
