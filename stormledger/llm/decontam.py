@@ -1,7 +1,8 @@
 """Benchmark decontamination under edit distance.
 
 Texts and items are compared in a plain form: letters of ASCII and Latin-1 lowered, every run of other ASCII
-characters but digits one space, all other bytes as they are. A window of a text is as long as an item and aligned with it by any ``GRAM`` bytes that both have, wherever
+characters but digits and of other punctuation, symbols and spaces of the basic plane one space, all other bytes as
+they are. A window of a text is as long as an item and aligned with it by any ``GRAM`` bytes that both have, wherever
 they stand: no words are needed, so scripts without spaces and glued words are no special case. From these bytes on,
 towards the longer side of the item, the CGK random walk embeds both strings: it emits the byte under its pointer and
 a random bit that depends on step and byte moves the pointer, so that strings a few edits apart fall into step again and edit distance
@@ -22,6 +23,7 @@ reported; repeated rows of a text are each reported; further columns are ignored
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -46,11 +48,13 @@ RECORDS = 1 << 14
 KEPT_BYTES = 64 << 20
 CHUNK = 1 << 16
 
+BLANKS = {"Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Sm", "Sc", "Sk", "So", "Zs", "Zl", "Zp", "Cc", "Cf"}
 PLAIN = np.arange(256, dtype=np.uint8)
 PLAIN[:128] = 32
 PLAIN[48:58] = np.arange(48, 58)
 PLAIN[97:123] = np.arange(97, 123)
 PLAIN[65:91] = np.arange(97, 123)
+BLANK = np.array([unicodedata.category(chr(i)) in BLANKS for i in range(1 << 16)])
 
 RANDOM = np.random.default_rng(20)
 WALK = RANDOM.integers(0, 2, (WALKS, STEPS, 256), dtype=np.uint8)
@@ -58,11 +62,25 @@ PLACES = RANDOM.random((WALKS, SAMPLES, BITS))
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def blank_out(data: np.ndarray, form: np.ndarray) -> None:
+    """Blanks in ``form`` for characters of two and three bytes that are neither letters, digits nor marks."""
+    lead = np.flatnonzero(data >= 0xC2)
+    for size, low, high in ((2, 0xC2, 0xE0), (3, 0xE0, 0xF0)):
+        at = lead[(data[lead] >= low) & (data[lead] < high) & (lead + size <= len(data))]
+        point = data[at].astype(np.int64) & (0x1F if size == 2 else 0x0F)
+        for k in range(1, size):
+            point = point << 6 | data[at + k] & 0x3F
+        at = at[BLANK[point]]
+        for k in range(size):
+            form[at + k] = 32
+
+
 def plain(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Plain form of all texts, where each ends in it, and the place of every byte in the original."""
     form = PLAIN[data]
     if len(form):  # capitals of Latin-1 are C3 80 to C3 9E, their small letters 20 higher
         form[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)] += 32
+    blank_out(data, form)
     space = form == 32
     drop = space.copy()
     if len(drop):

@@ -119,3 +119,24 @@ def test_short_items_are_found_with_edits():
     assert leaks(["they say the quick brwn fox jumqs here"], [(1, "the quick brown fox jumps"), (2, "wholly other words")]) == {
         (0, 1): (2, 9, 33)
     }
+
+
+CJK = "机器学习模型的训练数据必须经过清洗否则评测结果就会失去意义因此我们需要检查每一段文字是否含有测试题目"
+THAI = "ข้อมูลสำหรับฝึกแบบจำลองต้องสะอาดไม่เช่นนั้นผลการทดสอบจะไม่มีความหมายและเชื่อถือไม่ได้"
+
+
+@pytest.mark.parametrize("item", [CJK, CJK[:20], THAI, "supercalifragilisticexpialidocious" * 3])
+def test_items_inside_unspaced_runs(item):
+    before, after = ("zq" * 40, "kv" * 40) if item.isascii() else ("我昨天在街上看见了一只猫" * 3, "然后它就跑掉了再也没回来" * 3)
+    found = leaks([before + item + after, before + after], [(1, item)])
+    start = len(before.encode())
+    assert found == {(0, 1): (0, start, start + len(item.encode()))}
+
+
+def test_other_punctuation_and_spaces_are_blanks():
+    item = "the \"quick\" brown fox - as they say - jumps over the lazy dog, and runs; nobody saw it again that day"
+    other = item.replace('"', "“").replace(" - ", "—").replace("lazy dog", "lazy dog").replace(", and", "、and")
+    assert {k: v[0] for k, v in leaks(["Well:" + other + "…"], [(1, item)]).items()} == {(0, 1): 0}
+    data, ends = decontam.text_bytes(pa.array(["Ünï ª あ้é—　x", "’"]))
+    form, stop, _ = decontam.plain(data, ends)
+    assert form.tobytes().decode() == "ünï ª あ้é x " and stop.tolist() == [len(form) - 1, len(form)]
