@@ -8,7 +8,8 @@
    likelier of the two is the restored token.
 3. Scoring: weights of restored words, learned from a bounded sample of labelled rows (``SAMPLE_ROWS``). For
    the score alone, only tokens whose lattice holds a lexicon word are decoded: no other token can
-   become one. They are found by shapes that all paths of a lattice share, for all new tokens at once.
+   become one. They are found for all new tokens at once: without imitations all paths of a lattice share a shape; with
+   some, which may also stand for nothing, a word has all letters of the token and no letter that none of its characters can be.
 
 Only the training sample is bounded; texts are scored whole. Near copies of one training text count once per
 word (by a fingerprint of the text), so that words of a copied text do not enter the lexicon. Defined cases:
@@ -114,7 +115,7 @@ ALIKE = str.maketrans({**{k: v[0] for k, v in IMITATES.items()}, "l": "i"})
 
 
 def shape(token: str) -> str:
-    """Equal for all tokens whose lattices may share a path: imitations replaced, repeats and the rest left out."""
+    """Equal for all tokens without imitations whose lattices share a path: repeats and all but letters left out."""
     out = []
     for c in token.translate(ALIKE):
         if c.isalpha() and (not out or out[-1] != c):
@@ -122,6 +123,21 @@ def shape(token: str) -> str:
     return "".join(out)
 
 
+def letter_bit(letter: str) -> int:
+    return 1 << ord(letter) % 64
+
+
+def letter_sets(token: str) -> tuple[int, int]:
+    """Bits of the letters that every path of the lattice has, and of those that any path has."""
+    sure = possible = 0
+    for c in token:
+        if c.isalpha():
+            sure |= letter_bit(c)
+        for x in options(c):
+            possible |= letter_bit(x)
+    return sure, possible
+
+
 def options(char: str) -> str:
     return char if char.isalpha() else IMITATES.get(char, "")
 
@@ -245,8 +261,37 @@ class Restorer:
         self.classes = table
         self.mix = np.random.default_rng(11).integers(1, 2**63, 61, dtype=np.uint64) | np.uint64(1)
         self.keys = np.sort(shape_keys(sorted(self.model.shapes), table, self.mix))
+        self.sets = {w: letter_sets(w)[0] for w in sorted(self.model.weights)}
+        self.bits = np.zeros((2, 1 << 16), dtype=np.uint64)
+        self.imitates = np.zeros(1 << 16, dtype=bool)
+        for i in range(1 << 16):
+            self.bits[:, i] = letter_sets(chr(i))
+            self.imitates[i] = chr(i) in IMITATES
+        self.bits[1, 0xFFFF] = np.uint64(2**64 - 1)  # all beyond the basic plane
         self.least = min((len(set(x)) for x in self.model.shapes), default=1 << 30)
 
+    def lexicon(self, core: str) -> list[str]:
+        """All words that the lattice of a token may hold."""
+        if not any(c in IMITATES for c in core):
+            return self.model.shapes.get(shape(core), [])
+        sure, possible = letter_sets(core)
+        return [w for w, own in self.sets.items() if not sure & ~own and not own & ~possible]
+
+    def likely(self, cores: list[str]) -> np.ndarray:
+        """The tokens with any such word."""
+        points = np.frombuffer("\n".join([*cores, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+        ends = np.flatnonzero(points == 10)
+        points = np.where(points < 1 << 16, points, 0xFFFF)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        noisy = np.logical_or.reduceat(self.imitates[points], starts)
+        found = ~noisy & np.isin(shape_keys(cores, self.classes, self.mix), self.keys)
+        at = np.flatnonzero(noisy)
+        sure, possible = (np.bitwise_or.reduceat(b[points], starts)[at] for b in self.bits)
+        for own in set(self.sets.values()):
+            own = np.uint64(own)
+            found[at[((sure & ~own) | (own & ~possible)) == 0]] = True
+        return np.flatnonzero(found)
+
     def decode(self, cores: list[str]) -> list[str]:
         """The likelier of the free path and the lexicon paths of each token."""
         plain = {c for c in cores if PLAIN.fullmatch(c) or len(c) > LONGEST_TOKEN}
@@ -255,7 +300,7 @@ class Restorer:
         out = []
         for core in cores:
             word, best = (core, 0.0) if core in plain else free[core]
-            for w in self.model.shapes.get(shape(core), ()):
+            for w in self.lexicon(core):
                 x = WORD_PRIOR + path_cost(core, w)
                 if x > best or w == core:
                     word, best = w, x
@@ -273,7 +318,7 @@ class Restorer:
         self.singles.update(t for t in new if len(t) == 1)
         cores = [clean(t) for t in new]
         for trim in ("", "!|+("):  # at the end these are letters or punctuation
-            likely = np.flatnonzero(np.isin(shape_keys([c.rstrip(trim) for c in cores] if trim else cores, self.classes, self.mix), self.keys))
+            likely = self.likely([c.rstrip(trim) for c in cores] if trim else cores)
             for i, word in zip(likely, self.decode([cores[i].rstrip(trim) if trim else cores[i] for i in likely])):
                 if word in self.model.weights:
                     self.toxic[new[i]] = word
@@ -285,7 +330,7 @@ class Restorer:
         longest = max(map(len, self.model.weights), default=0) * 2
         for i in range(len(chars)):
             for j in range(i + LEAST_LETTERS, min(len(chars), i + longest) + 1):
-                for w in self.model.shapes.get(shape(chars[i:j]), ()):
+                for w in self.lexicon(chars[i:j]):
                     if path_cost(chars[i:j], w) > -math.inf:
                         found.add(w)
         return found

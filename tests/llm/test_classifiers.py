@@ -121,6 +121,17 @@ def test_viterbi_against_enumeration():
         assert word == best[0] and score == pytest.approx(best[1])
 
 
+def test_score_finds_what_any_path_of_the_lattice_spells():
+    """Symbols as noise: a word is found wherever its path is likelier than the free one."""
+    model = toxicity.Model(toxicity.char_model(np.ones((60, 60))), WORDS, -4.0)
+    tokens = ["idiot1", "stu+pid", "i|d|i|o|t", "+idiot", "c$lown", "1d1o0t", "st0upid", "$tup1d5", "cl0wn3", "idi", "1990", "€100", "1d"]
+    for token in tokens:
+        free = toxicity.viterbi([token], model.language)[0][1]
+        want = {w for w in WORDS if toxicity.WORD_PRIOR + toxicity.path_cost(token, w) > free}
+        assert toxicity.Restorer(model).words([f"you {token}"]) == [want]
+        assert bool(want) == (token not in tokens[-4:])
+
+
 def test_toxicity_of_odd_texts(docs_of):
     model = toxicity.Model(toxicity.char_model(np.ones((60, 60))), WORDS, -4.0)
     got = {r.doc_id: r.score for r in toxicity.score(docs_of([*ODD, (9, "idiot")]).withColumnRenamed("lang", "score"), model).collect()}
