@@ -11,7 +11,7 @@
    become one. They are found for all new tokens at once: without imitations all paths of a lattice share a shape; with
    some, which may also stand for nothing, a word has all letters of the token and no letter that none of its characters can be.
 
-Only the training sample is bounded; texts are scored whole. Near copies of one training text count once per
+Only the training sample is bounded; texts are scored whole, tokens and runs of any length included. Near copies of one training text count once per
 word (by a fingerprint of the text), so that words of a copied text do not enter the lexicon. Defined cases:
 null and empty texts get the score of a text without a lexicon word; without labelled rows every score is 0;
 further columns pass through.
@@ -38,7 +38,7 @@ LEAST_TEXTS = 5
 LEAST_LOG_ODDS = 3.0
 LEAST_LETTERS = 3
 CACHED_TOKENS = 500_000
-LONGEST_TOKEN = 64
+BACK_BYTES = 64 << 20
 SYMBOLS = 60  # 0: end of a word, 1 to 26: a to z, 27 to 58: letters of Latin-1, 59: other letters
 OTHER = 59
 
@@ -164,17 +164,44 @@ def path_cost(token: str, word: str) -> float:
     return at.get(len(word), -math.inf)
 
 
+def spelled(chars: str, words: list[str]) -> set[str]:
+    """The words that the lattice of any stretch of ``chars`` spells; bit k of a word: its first k + 1 letters are read."""
+    words = [w for w in words if w]
+    masks: dict[str, int] = {}
+    starts = at = 0
+    ends = []
+    for w in words:
+        starts |= 1 << at
+        for x in w:
+            masks[x] = masks.get(x, 0) | 1 << at
+            at += 1
+        ends.append(1 << at - 1)
+    done = sum(ends)
+    read = seen = 0
+    for c in chars:
+        here = 0
+        for x in options(c):
+            here |= masks.get(x, 0)
+        read = ((read << 1 | starts) | read) & here | (0 if c.isalpha() else read)
+        seen |= read & done
+    return {w for w, end in zip(words, ends) if seen & end}
+
+
 def viterbi(tokens: list[str], language: np.ndarray) -> list[tuple[str, float]]:
     """The likeliest letters of each token's lattice and their log-probability.
 
-    Tokens of one length are decoded together.
+    Tokens of one length are decoded together, up to ``BACK_BYTES`` of steps at a time; one token of any length is.
     """
     out: dict[str, tuple[str, float]] = dict.fromkeys(tokens, ("", -math.inf))
     by_length: dict[int, list[str]] = {}
     for t in tokens:
         by_length.setdefault(len(t), []).append(t)
     names: dict[int, str] = {}
+    groups = []
     for length, group in by_length.items():
+        most = max(1, BACK_BYTES // (SYMBOLS * max(1, length)))
+        groups += [(length, group[i : i + most]) for i in range(0, len(group), most)]
+    for length, group in groups:
         n = len(group)
         score = np.full((n, SYMBOLS), -np.inf)
         score[:, 0] = 0.0
@@ -294,7 +321,7 @@ class Restorer:
 
     def decode(self, cores: list[str]) -> list[str]:
         """The likelier of the free path and the lexicon paths of each token."""
-        plain = {c for c in cores if PLAIN.fullmatch(c) or len(c) > LONGEST_TOKEN}
+        plain = {c for c in cores if PLAIN.fullmatch(c)}
         noisy = [c for c in dict.fromkeys(cores) if c not in plain]
         free = dict(zip(noisy, viterbi(noisy, self.model.language)))
         out = []
@@ -325,15 +352,7 @@ class Restorer:
 
     def spaced(self, run: str) -> set[str]:
         """Lexicon words spelled by a run of single characters, found anywhere in it."""
-        chars = "".join(run.split())
-        found = set()
-        longest = max(map(len, self.model.weights), default=0) * 2
-        for i in range(len(chars)):
-            for j in range(i + LEAST_LETTERS, min(len(chars), i + longest) + 1):
-                for w in self.lexicon(chars[i:j]):
-                    if path_cost(chars[i:j], w) > -math.inf:
-                        found.add(w)
-        return found
+        return spelled("".join(run.split()), list(self.model.weights))
 
     def words(self, texts: list[str | None]) -> list[set[str]]:
         """The lexicon words of each text."""

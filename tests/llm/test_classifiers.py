@@ -132,6 +132,22 @@ def test_score_finds_what_any_path_of_the_lattice_spells():
         assert bool(want) == (token not in tokens[-4:])
 
 
+def test_long_tokens_and_runs_are_decoded():
+    restorer = toxicity.Restorer(toxicity.Model(toxicity.char_model(np.ones((60, 60))), WORDS, -4.0))
+    long = ["idi" + "o" * 200 + "t", "1d1" + "0" * 40 + "t" * 60, "s t u u u u u u u u u u u u u u p i d", "x " + "c l o o " + "o " * 500 + "w n"]
+    assert restorer.words(long) == [{"idiot"}, {"idiot"}, {"stupid"}, {"clown"}]
+    assert restorer.restore(long[0]) == "idiot"
+
+
+def test_spelled_against_path_cost():
+    rng = np.random.default_rng(5)
+    words = ["aba", "abb", "bia", "ala"]
+    for _ in range(200):
+        chars = "".join(rng.choice(list("abl1!-"), 9))
+        stretches = [chars[i:j] for i in range(9) for j in range(i + 1, 10)]
+        assert toxicity.spelled(chars, words) == {w for w in words if any(toxicity.path_cost(x, w) > -np.inf for x in stretches)}
+
+
 def test_toxicity_of_odd_texts(docs_of):
     model = toxicity.Model(toxicity.char_model(np.ones((60, 60))), WORDS, -4.0)
     got = {r.doc_id: r.score for r in toxicity.score(docs_of([*ODD, (9, "idiot")]).withColumnRenamed("lang", "score"), model).collect()}
