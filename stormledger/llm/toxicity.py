@@ -3,7 +3,8 @@
 1. A character language model: bigram counts of the letters of all texts, each task counting its own part.
 2. Restoration: a token is a lattice. A letter stands for itself, a digit or symbol for the letters it
    imitates or for nothing, a repeated character for one letter or more, and a run of
-   single characters is one token. Viterbi finds the likeliest letters. Words of the
+   single characters, with any white space between and marks at its ends, is one token. A token may also be several,
+   joined by marks, and a few tokens one, torn by blanks. Viterbi finds the likeliest letters. Words of the
    toxic lexicon are paths of the same lattice with a prior of their own (``WORD_PRIOR``): the
    likelier of the two is the restored token.
 3. Scoring: weights of restored words, learned from a bounded sample of labelled rows (``SAMPLE_ROWS``). For
@@ -54,8 +55,11 @@ COST_REPEAT = math.log(0.2)
 WORD_PRIOR = math.log(1e-5)
 
 TOKEN = re.compile(r"\S+")
-SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(€£¡])(?:[ \t][^\W_]|[ \t][@$!|+(€£¡])+(?!\S)")
 EDGE = ".,;:?\"'()[]{}<>«»“”‘’…-_*#%&~^=/\\"
+MARKS = re.escape(EDGE + "!|+")
+SINGLE = r"(?:[^\W_]|[@$!|+(€£¡])"
+SPACED = re.compile(rf"(?:(?<!\S)|(?<=[{MARKS}])){SINGLE}(?:\s+{SINGLE})+(?=[{MARKS}]*(?!\S))")
+INNER = (re.compile(r"(?:[^\w@$!|+(€£¡]|_)+"), re.compile(r"[\W_]+"))  # marks that imitate no letter; all marks
 PLAIN = re.compile(r"(?:([^\W\d_])(?!\1))*")
 
 
@@ -254,6 +258,11 @@ def clean(token: str) -> str:
     return token.strip(EDGE)
 
 
+def parts(core: str) -> set[str]:
+    """What the marks inside a token part."""
+    return {p for marks in INNER for p in marks.split(core) if len(p) >= LEAST_LETTERS and p != core}
+
+
 def shape_keys(tokens: list[str], classes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """A hash of the shape of every token: the letters after imitation, without repeats."""
     points = np.frombuffer("\n".join([*tokens, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -278,7 +287,10 @@ class Restorer:
     def __init__(self, model: Model):
         self.model = model
         self.seen: set[str] = set()
-        self.toxic: dict[str, str] = {}
+        self.toxic: dict[str, set[str]] = {}
+        self.torn: dict[str, str] = {}  # tokens that begin a lexicon word, with their shape
+        self.begins = {x[:k] for x in self.model.shapes for k in range(1, len(x) + 1)}
+        self.begin_keys = np.zeros(0, np.uint64)
         self.restored: dict[str, str] = {}
         self.singles: set[str] = set()
         table = np.zeros(1 << 16, dtype=np.uint32)
@@ -287,6 +299,7 @@ class Restorer:
             table[i] = ord(c) if len(c) == 1 and c.isalpha() else 0
         self.classes = table
         self.mix = np.random.default_rng(11).integers(1, 2**63, 61, dtype=np.uint64) | np.uint64(1)
+        self.begin_keys = np.sort(shape_keys(sorted(self.begins), table, self.mix))
         self.keys = np.sort(shape_keys(sorted(self.model.shapes), table, self.mix))
         self.sets = {w: letter_sets(w)[0] for w in sorted(self.model.weights)}
         self.bits = np.zeros((2, 1 << 16), dtype=np.uint64)
@@ -342,13 +355,46 @@ class Restorer:
         self.seen.update(new)
         if not new or not len(self.keys):
             return
-        self.singles.update(t for t in new if len(t) == 1)
         cores = [clean(t) for t in new]
+        self.singles.update(t for t, c in zip(new, cores) if len(t) == 1 or len(c.strip("!|+(")) == 1)
+        for i in np.flatnonzero(np.isin(shape_keys(cores, self.classes, self.mix), self.begin_keys)):
+            if shape(cores[i]) in self.begins:
+                self.torn[new[i]] = shape(cores[i])
         for trim in ("", "!|+("):  # at the end these are letters or punctuation
             likely = self.likely([c.rstrip(trim) for c in cores] if trim else cores)
             for i, word in zip(likely, self.decode([cores[i].rstrip(trim) if trim else cores[i] for i in likely])):
                 if word in self.model.weights:
-                    self.toxic[new[i]] = word
+                    self.toxic.setdefault(new[i], set()).add(word)
+        joined = [(t, part) for t, core in zip(new, cores) if not core.isalnum() for part in parts(core)]
+        pieces = sorted({p for _, p in joined})
+        if pieces:
+            likely = self.likely(pieces)
+            found = {pieces[i]: w for i, w in zip(likely, self.decode([pieces[i] for i in likely])) if w in self.model.weights}
+            for t, part in joined:
+                if part in found:
+                    self.toxic.setdefault(t, set()).add(found[part])
+
+    def mended(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, stop, word) where tokens beside each other spell a word that is likelier than they are by themselves."""
+        out, spans = [], [(m.start(), m.end(), m[0]) for m in TOKEN.finditer(text)]
+        i = 0
+        while i < len(spans):
+            key, best = self.torn.get(spans[i][2]), None
+            j = i + 1
+            while key in self.begins and j < len(spans):
+                core = clean(spans[j][2])
+                key = shape(key + shape(core))
+                j += 1
+                if key in self.model.shapes:
+                    cores = [clean(x[2]) for x in spans[i:j]]
+                    apart = sum(x for _, x in viterbi(cores, self.model.language))
+                    for w in self.model.shapes[key]:
+                        if WORD_PRIOR + path_cost("".join(cores), w) + COST_DROP * (j - i - 1) > apart:
+                            best = (spans[i][0], spans[j - 1][1], w), j
+            if best:
+                out.append(best[0])
+            i = best[1] if best else i + 1
+        return out
 
     def spaced(self, run: str) -> set[str]:
         """Lexicon words spelled by a run of single characters, found anywhere in it."""
@@ -361,7 +407,9 @@ class Restorer:
         self.learn(set().union(*tokens) if tokens else set())
         out = []
         for t, own in zip(low, tokens):
-            hits = {self.toxic[x] for x in self.toxic.keys() & own}
+            hits = set().union(*(self.toxic[x] for x in self.toxic.keys() & own))
+            if self.torn.keys() & own:
+                hits |= {w for _, _, w in self.mended(t)}
             if len(self.singles & own) >= self.least:
                 for m in SPACED.finditer(t):
                     hits |= self.spaced(m[0])
@@ -370,6 +418,9 @@ class Restorer:
 
     def restore(self, text: str) -> str:
         text = SPACED.sub(lambda m: "".join(m[0].split()) if self.spaced(m[0]) else m[0], text.lower())
+        self.learn(set(text.split()))
+        for start, stop, word in reversed(self.mended(text)):
+            text = text[:start] + word + text[stop:]
         if len(self.restored) > CACHED_TOKENS:
             self.restored.clear()
         new = sorted(set(text.split()) - self.restored.keys())
@@ -379,6 +430,14 @@ class Restorer:
             if word not in self.model.weights and bare != core:
                 trimmed = self.decode([bare])[0]
                 word = trimmed if trimmed in self.model.weights else word
+            if word not in self.model.weights:
+                for marks in INNER:
+                    own = [p for p in marks.split(core) if p != core and self.decode([p])[0] in self.model.weights] if not core.isalnum() else []
+                    if own:
+                        word = core
+                        for p in own:
+                            word = word.replace(p, self.decode([p])[0])
+                        break
             self.restored[t] = word
         return TOKEN.sub(lambda m: self.restored[m[0]], text)
 

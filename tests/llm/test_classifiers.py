@@ -98,6 +98,18 @@ def test_restored_words(text, word):
     assert (word in restorer.restore(text)) if word else restorer.restore(text) == text
 
 
+@pytest.mark.parametrize(
+    ("text", "words"),
+    [("an i d i o t.", {"idiot"}), ("an i d i o t, yes", {"idiot"}), ("i d i o t!", {"idiot"}), ("i  d  i  o  t", {"idiot"}), ('"i d i o t"', {"idiot"}),
+     ("i\nd\ni\n\no\nt\nx", {"idiot"}), ("stupid,idiot", {"stupid", "idiot"}), ("1d10t/moron", {"idiot"}), ("a clown!stup1d b", {"clown", "stupid"}),
+     ("an id iot here", {"idiot"}), ("you stu pi d.", {"stupid"}), ("a plain text, in parts/pieces id est", set())],
+)
+def test_words_torn_or_joined(text, words):
+    restorer = toxicity.Restorer(toxicity.Model(toxicity.char_model(np.ones((60, 60))), WORDS, -4.0))
+    assert restorer.words([text, None]) == [words, set()]
+    assert all(w in toxicity.Restorer(restorer.model).restore(text) for w in words)
+
+
 def test_viterbi_against_enumeration():
     rng = np.random.default_rng(3)
     language = np.log(rng.dirichlet(np.ones(toxicity.SYMBOLS), toxicity.SYMBOLS))
