@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, minhash, permutation, quality, suffixes, toxicity, warc
+from . import bpe, chat, decontam, langid, lexical, minhash, permutation, quality, suffixes, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -83,7 +83,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op8_decontam": op8_decontam, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc}
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op8_decontam": op8_decontam, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc, "op13_lexical": op13_lexical}
 
 SQL = {
     "op1_minhash": r"""
@@ -139,4 +144,31 @@ SQL = {
             CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
         FROM m
     """,
+    "op13_lexical": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), i AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), q AS (SELECT item_id, term, count(*) AS repeats FROM i GROUP BY ALL),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_terms FROM d WHERE len(words) > 0),
+        t AS (
+            SELECT doc_id, term, n, count(*) AS tf
+            FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight
+            FROM t, s GROUP BY term, n_docs
+        ), r AS (
+            SELECT item_id, doc_id, CAST(sum(repeats * weight * (
+                (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM t JOIN w USING (term) JOIN q USING (term), s GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM r WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+    """,
 }

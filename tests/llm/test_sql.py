@@ -13,4 +13,4 @@ def test_query(spark, sf_dir, name):
 
 
 def test_names():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
