@@ -235,6 +235,6 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20, block_bytes: int = IT
         ranked = search_block(docs, block, k).join(F.broadcast(ids), "item")
         results.append(stage(ranked.select("item_id", F.col("rank").cast("int"), "doc_id", "score"), "ranked"))
     if not results:
-        schema = T.StructType([T.StructField("item_id", kind)]).add("rank", "int").add("doc_id", "long").add("score", "long")
+        schema = T.StructType([T.StructField("item_id", kind)]).add("rank", "integer").add("doc_id", "long").add("score", "long")
         return spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, results)
