@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, lexical, minhash, permutation, quality, suffixes, toxicity, warc
+from . import bpe, chat, decontam, langid, lexical, minhash, packing, permutation, quality, suffixes, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -83,12 +83,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
+    )
+
+
 def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op8_decontam": op8_decontam, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc, "op13_lexical": op13_lexical}
+QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op8_decontam": op8_decontam, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc, "op12_packing": op12_packing, "op13_lexical": op13_lexical}
 
 SQL = {
     "op1_minhash": r"""
