@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, lexical, minhash, packing, permutation, quality, suffixes, toxicity, warc
+from . import bpe, chat, decontam, langid, lexical, minhash, packing, periods, permutation, quality, suffixes, toxicity, warc
 from .common import bounded_batches, held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -83,6 +83,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Texts of every tenth id (by its checksum) go on from some word as repeats of what follows it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("long").alias("g"))
+    chosen = F.coalesce((F.col("h") % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    repeated = planted.where(chosen).select("doc_id", "g", words.alias("w")).withColumn("a", F.expr("g % size(w)").cast("int"))
+    repeated = repeated.withColumn("p", F.expr("1 + (size(w) - a) div (3 + g % 8)").cast("int"))
+    text = F.expr("array_join(transform(sequence(0, size(w) - 1), i -> w[if(i < a, i, a + (i - a) % p)]), ' ')")
+    return repeated.select("doc_id", text.alias("text")).unionByName(planted.where(~chosen).select("doc_id", "text"))
+
+
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return periods.run_digests(with_planted_periods(table(spark, sf_dir, "documents")))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     pieces = packing.pack(table(spark, sf_dir, "documents"))
@@ -96,7 +113,7 @@ def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op8_decontam": op8_decontam, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc, "op12_packing": op12_packing, "op13_lexical": op13_lexical}
+QUERIES = {"op1_minhash": op1_minhash, "op2_chat": op2_chat, "op3_langid": op3_langid, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_permutation": op6_permutation, "op7_bpe": op7_bpe, "op8_decontam": op8_decontam, "op9_suffixes": op9_suffixes, "op10_warc": op10_warc, "op11_periods": op11_periods, "op12_packing": op12_packing, "op13_lexical": op13_lexical}
 
 SQL = {
     "op1_minhash": r"""
