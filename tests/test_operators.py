@@ -22,11 +22,24 @@ from stormledger.operators import (
     skew_safe_join,
 )
 from stormledger.operators import joins
+from stormledger.operators.blocks import covering_nodes
 from stormledger.operators.profile import ragged_count
 from stormledger.operators.row_ids import scan_position
 from stormledger.schemas import STATUS_LABELS, WIND_SCALE
 
 
+@pytest.fixture
+def without_adaptive(spark):
+    """Plans as written: no merged partitions, no broadcast that nobody asked for."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 # ------------------------------------------------------------------ row ids
 def test_row_id_equals_sort_order(spark):
     rnd = random.Random(1)
@@ -89,9 +102,9 @@ def test_line_numbers_across_files_and_splits(spark, tmp_path):
 
 
 # --------------------------------------------------------------- block join
-@pytest.mark.parametrize("cell_bits, chunk_cells", [(5, 4096), (2, 3), (0, 1)])
-def test_block_join_equals_range_test(spark, cell_bits, chunk_cells):
-    rnd = random.Random(cell_bits)
+@pytest.mark.parametrize("settings", [{}, {"cell_bits": 2, "broadcast_nodes": 100, "node_blocks": 2}, {"cell_bits": 0, "broadcast_nodes": 0, "node_blocks": 1}])
+def test_block_join_equals_range_test(spark, settings):
+    rnd = random.Random(len(settings))
     lines = list(range(2000))
     header_ids = sorted(rnd.sample(lines, 60))
     # overlapping, overstated, empty, negative and missing entries; one block of nearly everything
@@ -100,7 +113,7 @@ def test_block_join_equals_range_test(spark, cell_bits, chunk_cells):
     details = [i for i in lines if i not in header_ids]
     h = spark.createDataFrame(list(zip(header_ids, entries)), "header_id bigint, entries bigint")
     d = spark.createDataFrame([(i,) for i in details], "stat_id bigint")
-    got = rows(block_join(h, d, cell_bits=cell_bits, chunk_cells=chunk_cells), "header_id", "stat_id")
+    got = rows(block_join(h, d, **settings), "header_id", "stat_id")
     want = sorted(
         (a, i) for a, n in zip(header_ids, entries) if n is not None for i in details if a <= i <= a + n
     )
@@ -117,6 +130,28 @@ def test_block_join_survives_absurd_entries(spark):
     assert block_join(h, d.limit(0)).count() == 0
 
 
+def test_covering_nodes_hold_each_leaf_once(spark):
+    pairs = [(a, a + n) for a in (0, 1, 5, 8, 1000, 2**40 - 3) for n in (0, 1, 2, 6, 7, 8, 100, 1023)]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    for a, b, nodes_ in df.select("a", "b", covering_nodes("a", "b")).collect():
+        leaves = sorted(x for v in nodes_ for x in range((v >> 6) << (v & 63), ((v >> 6) + 1) << (v & 63)))
+        assert leaves == list(range(a, b + 1))
+        assert len(nodes_) <= 2 * (b - a + 1).bit_length()
+    [(whole,)] = spark.sql("select 3L a, cast(pow(2, 56) as bigint) b").select(covering_nodes("a", "b")).collect()
+    assert len(whole) <= 2 * 57
+
+
+@pytest.mark.parametrize("bound", [200_000, 0])
+def test_many_blocks_over_one_cell(spark, without_adaptive, bound):
+    """100,000 blocks that all cover the same lines: no task gives twice the median of the pairs."""
+    h = spark.range(100_000).select(F.col("id").alias("header_id"), (100_015 - F.col("id")).alias("entries"))
+    d = spark.range(100_000, 100_032).toDF("stat_id")
+    pairs = block_join(h, d, broadcast_nodes=bound, node_blocks=300)
+    sizes = sorted(r[1] for r in pairs.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == 100_000 * 16 and len(sizes) >= 8
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
 def test_block_join_is_an_equi_join(spark):
     h = spark.range(10).select((F.col("id") * 10).alias("header_id"), F.lit(9).cast("bigint").alias("entries"))
     plan = nodes(block_join(h, spark.range(100).toDF("stat_id")))
