@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .joins import bounded_broadcast
-from .staging import stage
+from .staging import discard, stage
 
 # A row per split of a text scan, slim enough to broadcast a million of them (some 200 MB).
 # Past that, raise spark.sql.files.maxPartitionBytes or pay for a shuffle of the lines.
@@ -59,13 +59,15 @@ def global_row_id(
     rows may be copies, end it with a column made by :func:`scan_position`.
 
     A sort looks at a sample of its input first, which computes the input twice. ``costly``: the
-    input is more than a scan (a join that multiplies rows), so it is written once and its scan is sorted.
+    input is more than a scan (a join that multiplies rows), so it is written once and its scan is sorted; that copy is
+    deleted as soon as the sorted one stands.
     """
-    if costly:
-        df = stage(df, "unsorted")
+    unsorted = stage(df, "unsorted") if costly else df
     # A global sort numbers its partitions in key order; the id's upper bits hold that number.
-    laid_out = df.orderBy(*order_by).withColumn(_POS, F.monotonically_increasing_id())
+    laid_out = unsorted.orderBy(*order_by).withColumn(_POS, F.monotonically_increasing_id())
     staged = stage(laid_out, "sorted").withColumn(_PART, F.shiftright(_POS, 33))
+    if costly:
+        discard(unsorted)
     # One row per sort partition, so never more than spark.sql.shuffle.partitions.
     return _number_parts(staged, [_PART], id_col, start, F.broadcast)
 

@@ -5,7 +5,7 @@ from .analytics import (
     prepare_fact,
     top_names_by_state,
 )
-from .build import TABLE_PATHS, build_tables, open_table
+from .build import TABLE_PATHS, build_tables, open_table, refresh_names, stored_checks, table_paths
 from .checks import (
     coordinate_check,
     landfall_completeness,
@@ -41,12 +41,15 @@ __all__ = [
     "parse_name_lines",
     "open_table",
     "prepare_fact",
+    "refresh_names",
     "states_completeness",
     "states_dimension",
     "storm_completeness",
     "storm_headers",
     "storm_stats",
     "storm_tracks",
+    "stored_checks",
+    "table_paths",
     "top_names_by_state",
     "with_schema",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.profile import count_check
@@ -24,11 +24,17 @@ def states_completeness(raw: DataFrame, states: DataFrame) -> DataFrame:
     return count_check("states", [state_rows(raw)], [states], keys=["state", "state_code"])
 
 
+def bad_coordinates() -> tuple[Column, Column]:
+    """Is a row's latitude, is its longitude absent or off the globe?"""
+    bad = lambda c, limit: F.col(c).isNull() | (F.abs(c) > limit)
+    return bad("latitude", 90), bad("longitude", 180)
+
+
 def coordinate_check(tracks: DataFrame) -> DataFrame:
     """Coordinates that are absent or off the globe."""
-    bad = lambda c, limit: F.count_if(F.col(c).isNull() | (F.abs(c) > limit))
+    latitude, longitude = bad_coordinates()
     return tracks.agg(
-        bad("latitude", 90).alias("bad_latitude"), bad("longitude", 180).alias("bad_longitude")
+        F.count_if(latitude).alias("bad_latitude"), F.count_if(longitude).alias("bad_longitude")
     ).withColumn("passed", (F.col("bad_latitude") == 0) & (F.col("bad_longitude") == 0))
 
 

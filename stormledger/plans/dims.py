@@ -60,14 +60,17 @@ def finish_names(names: DataFrame) -> DataFrame:
     )
 
 
-def names_dimension(lines: DataFrame) -> DataFrame:
-    """Names by state, numbered by birth year, state and the name as spelled.
+def names_dimension(lines: DataFrame, years: list[str] | None = None, first_id: int = 1) -> DataFrame:
+    """Names by state, numbered from ``first_id`` by birth year, state and the name as spelled.
 
-    ``lines`` comes straight from a file scan: equal lines are told apart by their place.
+    ``lines`` comes straight from a file scan: equal lines are told apart by their place. ``years``: only lines of
+    these birth years count.
     """
     parsed = parse_name_lines(lines).withColumn("__place", scan_position())
+    if years is not None:
+        parsed = parsed.where(F.col("birth_year").isin(years))
     order = ["birth_year", "state_code", "birth_name", "sex", "count", "__place"]
-    return finish_names(global_row_id(parsed, order, "name_id")).select(*NAME_COLUMNS)
+    return finish_names(global_row_id(parsed, order, "name_id", first_id)).select(*NAME_COLUMNS)
 
 
 def state_rows(raw: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@ from .names import read_name_lines
 from .regions import read_regions
 from .sinks import preview, write_csv, write_json, write_partitioned, write_table
 from .states import read_states_csv, read_states_json
+from .store import expire, fork
 from .tables import read_tables, wind_scale_table
 from .tracks import ingest_track_lines, read_track_csv, split_lines
 
 __all__ = [
+    "expire",
+    "fork",
     "ingest_track_lines",
     "preview",
     "read_name_lines",

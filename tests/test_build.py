@@ -150,7 +150,7 @@ def test_fact(tables, feeds, spark):
     ]
     damage = dict(rows(fact, "swl_id", "storm_damage_description"))
     assert damage == {1: None, 2: "Power outages that could last a few to several days."}
-    again = read_tables(spark, feeds["out"] + "/*/names_by_person_and_storm_fact.parquet")
+    again = read_tables(spark, feeds["out"] + "/versions/*/*/names_by_person_and_storm_fact.parquet")
     assert rows(again.select(*fact.columns)) == rows(fact)
 
 

@@ -205,4 +205,30 @@ SQL = {
     "q_fact_glob": _FACT_WITH_ID,
     "q_fact_first": f"{_FACT_WITH_ID} ORDER BY bsn_id LIMIT 25",
 }
+# Three years anew, without one sex; their ids go on after the last of the first build.
+_REFRESHED = f"""
+n0 AS (SELECT count(*) AS n FROM names), f0 AS (SELECT count(*) AS n FROM fact),
+new_names AS (SELECT CAST(n + row_number() OVER (ORDER BY name_id) AS BIGINT) AS name_id, names.* EXCLUDE name_id FROM names, n0
+    WHERE birth_year IN ('1903','1911','1950') AND sex<>'SMALL'),
+new_fact AS (SELECT swl_id, storm_id, name_id, storm_name, birth_name AS baby_name, storm_year, birth_year AS baby_birth_year,
+    l.state_code, storm_status, l.storm_category, damage AS storm_damage_description, sex AS baby_sex, name_count
+    FROM landfalls l JOIN new_names ON storm_name=birth_name LEFT JOIN scale ON scale.storm_category=l.storm_category)"""
+SQL["q_refresh_names"] = f"""WITH {_FULL_FACT}, {_REFRESHED}
+    SELECT * FROM names WHERE birth_year NOT IN ('1903','1911','1950') UNION ALL SELECT * FROM new_names"""
+SQL["q_refresh_fact"] = f"""WITH {_FULL_FACT}, {_REFRESHED}, old AS ({_FACT_WITH_ID})
+    SELECT * FROM old WHERE baby_birth_year NOT IN ('1903','1911','1950') UNION ALL
+    SELECT CAST(n + row_number() OVER (ORDER BY name_count, swl_id, name_id, state_code) AS BIGINT) AS bsn_id, new_fact.* FROM new_fact, f0"""
+SQL["q_stored_scale"] = f"""WITH {_LINES}, {_SCALE}, c AS (SELECT storm_category, CAST(count(*) AS BIGINT) AS n FROM pairs GROUP BY 1)
+    SELECT scale.storm_category AS category, CAST(min_kt AS BIGINT) AS min_sustained_wind_kt,
+    CAST(max_kt AS BIGINT) AS max_sustained_wind_kt, damage AS brief_damage_description, n
+    FROM scale LEFT JOIN c ON c.storm_category=scale.storm_category"""
+SQL["q_build_checks"] = f"""WITH {_LINES}, {_LANDFALLS}, e(check_name, expected, actual, bad) AS (
+    SELECT 'storms', (SELECT count(*) FROM feed), (SELECT count(*) FROM headers)+(SELECT count(*) FROM pairs), 0
+    UNION ALL SELECT 'names', count(*), count(*), count(*) FILTER (p_name IS NULL OR p_size IS NULL) FROM part
+    UNION ALL SELECT 'states', count(*), count(*), count(*) FILTER (state IS NULL OR state_code IS NULL) FROM known
+    UNION ALL SELECT 'coordinates', count(*), count(*), count(*) FILTER (latitude IS NULL OR abs(latitude)>90)
+      + count(*) FILTER (longitude IS NULL OR abs(longitude)>180) FROM stats
+    UNION ALL SELECT 'landfalls', (SELECT count(*) FROM landed), (SELECT count(*) FROM located), 0)
+    SELECT check_name, CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual, CAST(bad AS BIGINT) AS bad,
+    expected=actual AND bad=0 AS passed FROM e"""
 SQL["q_stored_tracks"] = SQL["q_track_ids"]

@@ -24,16 +24,20 @@ from stormledger.plans import (
     names_dimension,
     open_table,
     parse_name_lines,
+    refresh_names,
     states_completeness,
     states_dimension,
     storm_completeness,
     storm_headers,
     storm_stats,
     storm_tracks,
+    stored_checks,
+    table_paths,
     top_names_by_state,
 )
 from stormledger.plans.dims import finish_names
 from stormledger.sources import (
+    fork,
     preview,
     read_name_lines,
     read_states_csv,
@@ -349,7 +353,8 @@ def stored_table(name: str, **renamed: str):
 
 def fact_by_glob(spark: SparkSession, sf: str) -> DataFrame:
     """The stored fact, found by a pattern."""
-    return read_tables(spark, f"{stored(write_all_tables, spark, sf)}/fact_tables/names_by_person*")
+    [path] = table_paths(spark, stored(write_all_tables, spark, sf), "names_by_person_and_storm")
+    return read_tables(spark, f"{path.removesuffix('_and_storm_fact.parquet')}*")
 
 
 def first_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -357,6 +362,38 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
     return preview(built(spark, sf, "names_by_person_and_storm").orderBy("bsn_id"), 25)
 
 
+def stored_scale(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored scale next to how many stored track points each category has."""
+    points = built(spark, sf, "atlantic_storms").groupBy(F.col("storm_category").alias("category")).agg(F.count("*").alias("n"))
+    return built(spark, sf, "wind_scale").join(points, "category", "left")
+
+
+def build_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """What was counted while the tables were written. Storms and coordinates fail as they should."""
+    return stored_checks(spark, stored(write_all_tables, spark, sf))
+
+
+REFRESHED = ["1903", "1911", "1950"]
+
+
+def write_refreshed(spark: SparkSession, sf: str) -> str:
+    """The stored tables with three birth years replaced by feed lines that lack a sex."""
+    out = scratch_path(spark, "refreshed")
+    fork(spark, stored(write_all_tables, spark, sf), out)
+    lines = name_lines(spark, sf).where(F.get(F.split("value", ","), F.lit(1)) != "SMALL")
+    refresh_names(spark, out, lines, REFRESHED)
+    return out
+
+
+def refreshed(name: str, **renamed: str):
+    """Query that reads a table back after the refresh."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return open_table(spark, stored(write_refreshed, spark, sf), name).withColumnsRenamed(renamed)
+
+    return query
+
+
 # The first two leave the feed and the tables that the others read; without them, whichever
 # query needs these first writes them.
 QUERIES = {
@@ -401,4 +438,8 @@ QUERIES = {
     "q_stored_landfalls": stored_table("storms_with_us_landfall"),
     "q_fact_glob": fact_by_glob,
     "q_fact_first": first_rows,
+    "q_stored_scale": stored_scale,
+    "q_build_checks": build_checks,
+    "q_refresh_names": refreshed("names_by_state", count="name_count"),
+    "q_refresh_fact": refreshed("names_by_person_and_storm"),
 }
