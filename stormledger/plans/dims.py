@@ -18,6 +18,7 @@ from ..functions import (
 from ..operators.blocks import block_join
 from ..operators.row_ids import global_row_id, scan_position
 from ..schemas import HEADER_MARKER, RECORD_LABELS, STATUS_LABELS, WIND_SCALE
+from ..sources.tracks import feed_field
 
 NAME_COLUMNS = ["name_id", "birth_name", "birth_year", "state_code", "sex", "count", "decade"]
 TRACK_COLUMNS = [
@@ -92,15 +93,15 @@ def states_dimension(raw: DataFrame) -> DataFrame:
 
 
 def storm_headers(raw: DataFrame, marker: str = HEADER_MARKER) -> DataFrame:
-    """Header lines of the split track feed (``_c0``, ``0``, ``1``, ...)."""
-    storm_id = F.trim("0")
+    """Header lines of the track feed (``_c0`` and its fields, see ``sources.feed_field``)."""
+    storm_id = F.trim(feed_field(raw, 0))
     return (
-        raw.where(F.col("0").contains(marker))
+        raw.where(feed_field(raw, 0).contains(marker))
         .select(
             clean_int(F.col("_c0").cast("string"), "bigint").alias("header_id"),
             storm_id.alias("storm_id"),
-            F.trim(F.upper("1")).alias("storm_name"),
-            clean_int(F.col("2"), "bigint").alias("entries"),
+            F.trim(F.upper(feed_field(raw, 1))).alias("storm_name"),
+            clean_int(feed_field(raw, 2), "bigint").alias("entries"),
             F.substring(storm_id, 1, 2).alias("basin"),
             F.substring(storm_id, 3, 2).try_cast("int").alias("atcf_cyclone_num"),
             F.substring(storm_id, 5, 8).try_cast("int").alias("storm_year"),
@@ -110,17 +111,18 @@ def storm_headers(raw: DataFrame, marker: str = HEADER_MARKER) -> DataFrame:
 
 
 def storm_stats(raw: DataFrame, marker: str = HEADER_MARKER, scale=WIND_SCALE) -> DataFrame:
-    """Detail lines of the split track feed: parsed, labelled and categorised."""
-    parsed = raw.where(~F.col("0").contains(marker)).select(
+    """Detail lines of the track feed: parsed, labelled and categorised."""
+    field_ = lambda i: feed_field(raw, i)
+    parsed = raw.where(~field_(0).contains(marker)).select(
         clean_int(F.col("_c0").cast("string"), "bigint").alias("stat_id"),
-        text_date(F.col("0")).alias("storm_date"),
-        F.trim("1").alias("storm_time"),
-        label(F.col("2"), RECORD_LABELS).alias("record_identifier"),
-        label(F.col("3"), STATUS_LABELS).alias("storm_status"),
-        signed_degrees(F.col("4"), "N").alias("latitude"),
-        signed_degrees(F.col("5"), "E").alias("longitude"),
-        clean_int(F.col("6")).alias("max_sustained_wind_kt"),
-        clean_int(F.col("7")).alias("min_pressure_mbar"),
+        text_date(field_(0)).alias("storm_date"),
+        F.trim(field_(1)).alias("storm_time"),
+        label(field_(2), RECORD_LABELS).alias("record_identifier"),
+        label(field_(3), STATUS_LABELS).alias("storm_status"),
+        signed_degrees(field_(4), "N").alias("latitude"),
+        signed_degrees(field_(5), "E").alias("longitude"),
+        clean_int(field_(6)).alias("max_sustained_wind_kt"),
+        clean_int(field_(7)).alias("min_pressure_mbar"),
     )
     return parsed.select(
         "stat_id",

@@ -4,10 +4,11 @@ from .sinks import preview, write_csv, write_json, write_partitioned, write_tabl
 from .states import read_states_csv, read_states_json
 from .store import expire, fork
 from .tables import read_tables, wind_scale_table
-from .tracks import ingest_track_lines, read_track_csv, split_lines
+from .tracks import feed_field, ingest_track_lines, read_track_csv, read_track_lines, split_lines, widen, write_track_lines
 
 __all__ = [
     "expire",
+    "feed_field",
     "fork",
     "ingest_track_lines",
     "preview",
@@ -17,10 +18,13 @@ __all__ = [
     "read_states_json",
     "read_tables",
     "read_track_csv",
+    "read_track_lines",
     "split_lines",
+    "widen",
     "wind_scale_table",
     "write_csv",
     "write_json",
     "write_partitioned",
     "write_table",
+    "write_track_lines",
 ]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stormledger.operators.staging import scratch_path
 from stormledger.plans import build_tables, open_table
-from stormledger.sources import ingest_track_lines, read_track_csv, write_csv
+from stormledger.sources import read_tables, widen, write_csv, write_track_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,13 +91,25 @@ def blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(F.col("p_partkey").alias("block"), F.lit(2).alias("kind"), F.lit("  \t ").alias("value"))
 
 
-def write_track_feed(spark: SparkSession, sf_dir: str) -> str:
-    """The feed as a text file, its lines indexed and split, as CSV. Returns the CSV's path."""
-    text, csv = scratch_path(spark, "tracks-text"), scratch_path(spark, "tracks-csv")
+def write_track_text(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as text files, in feed order."""
+    text = scratch_path(spark, "tracks-text")
     every = track_lines(spark, sf_dir).unionByName(blank_lines(spark, sf_dir))
-    lines = every.orderBy("block", "kind", "value")
-    lines.select("value").write.text(text)
-    write_csv(ingest_track_lines(spark, text), csv)
+    every.orderBy("block", "kind", "value").select("value").write.text(text)
+    return text
+
+
+def write_track_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The text's lines, numbered and split. Returns the path of the Parquet."""
+    feed = scratch_path(spark, "tracks")
+    write_track_lines(spark, stored(write_track_text, spark, sf_dir, anew=True), feed)
+    return feed
+
+
+def write_track_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The numbered feed as CSV, as wide as its longest line. Returns the path."""
+    csv = scratch_path(spark, "tracks-csv")
+    write_csv(widen(raw_tracks(spark, sf_dir)), csv)
     return csv
 
 
@@ -117,7 +129,7 @@ def stored(make, spark: SparkSession, sf_dir: str, anew: bool = False) -> str:
 
 def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored track feed."""
-    return read_track_csv(spark, stored(write_track_feed, spark, sf_dir))
+    return read_tables(spark, stored(write_track_feed, spark, sf_dir))
 
 
 def write_all_tables(spark: SparkSession, sf_dir: str) -> str:

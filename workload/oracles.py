@@ -205,6 +205,7 @@ SQL = {
     "q_fact_glob": _FACT_WITH_ID,
     "q_fact_first": f"{_FACT_WITH_ID} ORDER BY bsn_id LIMIT 25",
 }
+SQL["q_track_csv"] = SQL["q_track_ingest"]
 # Three years anew, without one sex; their ids go on after the last of the first build.
 _REFRESHED = f"""
 n0 AS (SELECT count(*) AS n FROM names), f0 AS (SELECT count(*) AS n FROM fact),

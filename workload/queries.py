@@ -44,6 +44,7 @@ from stormledger.sources import (
     read_states_json,
     read_tables,
     read_track_csv,
+    widen,
     wind_scale_table,
     write_json,
     write_partitioned,
@@ -58,6 +59,7 @@ from .feeds import (
     stored,
     table,
     write_all_tables,
+    write_track_csv,
     write_track_feed,
 )
 
@@ -157,13 +159,20 @@ def track_ids(spark: SparkSession, sf: str) -> DataFrame:
     return storm_tracks(storm_headers(raw), storm_stats(raw))
 
 
+def under_query_names(wide: DataFrame) -> DataFrame:
+    fields = [F.col(f"`{c}`").alias(f"field_{c}") for c in wide.columns if c != "_c0"]
+    return wide.select(F.col("_c0").cast("bigint").alias("line_id"), *fields)
+
+
 def track_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Text feed written, its lines indexed and split, written as CSV and read back."""
-    raw = read_track_csv(spark, stored(write_track_feed, spark, sf, anew=True))
-    return raw.select(
-        F.col("_c0").cast("bigint").alias("line_id"),
-        *(F.col(c).alias(f"field_{c}") for c in raw.columns if c != "_c0"),
-    )
+    """Text feed written, its lines indexed, split and written; every field read back by its position."""
+    feed = read_tables(spark, stored(write_track_feed, spark, sf, anew=True))
+    return under_query_names(widen(feed))
+
+
+def track_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed written as CSV with a header and read back."""
+    return under_query_names(read_track_csv(spark, write_track_csv(spark, sf)))
 
 
 def landfall_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,7 +251,7 @@ def missing(spark: SparkSession, sf: str) -> DataFrame:
         "events": events,
         "names": parse_name_lines(name_lines(spark, sf)),
         "states": customer_states(spark, sf),
-        "tracks": raw_tracks(spark, sf),
+        "tracks": widen(raw_tracks(spark, sf)),
     }
     parts = []
     for feed, df in feeds.items():
@@ -259,7 +268,7 @@ def duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ragged(spark: SparkSession, sf: str) -> DataFrame:
-    return ragged_count(raw_tracks(spark, sf), "3")
+    return ragged_count(widen(raw_tracks(spark, sf), 4), "3")
 
 
 def check_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -438,6 +447,7 @@ QUERIES = {
     "q_stored_landfalls": stored_table("storms_with_us_landfall"),
     "q_fact_glob": fact_by_glob,
     "q_fact_first": first_rows,
+    "q_track_csv": track_csv,
     "q_stored_scale": stored_scale,
     "q_build_checks": build_checks,
     "q_refresh_names": refreshed("names_by_state", count="name_count"),
