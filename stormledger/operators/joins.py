@@ -25,6 +25,10 @@ TASK_ROWS = 1_000_000
 # Rows that one cell of the grid may give.
 OUT_ROWS = 10_000_000
 
+# Distinct keys that a filter of the other side may hold: 16 bits each, so up to 32 MB.
+FILTER_KEYS = 16_000_000
+FILTER_BITS = 16
+
 _SALT, _CHUNK, _SALTS, _CHUNKS = "__salt", "__chunk", "__salts", "__chunks"
 
 
@@ -93,6 +97,8 @@ def skew_safe_join(
     A ``right`` within ``broadcast_rows`` is broadcast and ``left`` stays where it is. Only the
     rows of keys with more than ``fan_out`` partners are shuffled (an inner join; there are
     at most ``broadcast_rows / fan_out`` such keys), so that no task multiplies its rows by thousands.
+
+    A larger ``right`` is shuffled with those rows of ``left`` that pass a Bloom filter of its keys (inner and left_semi).
     """
     if how in ("left_semi", "left_anti"):
         right = right.select(on).distinct()
@@ -106,6 +112,8 @@ def skew_safe_join(
         narrow = left.where(~is_wide).join(F.broadcast(right.where(~is_wide)), on)
         left, right = left.where(is_wide), right.where(is_wide)
         return narrow.unionByName(_grid_join(left, right, on, how, task_rows, fan_out))
+    if how == "left_semi":  # the keys of right are distinct; as an inner join, the filter stays below it
+        return _grid_join(left, right, on, "inner", task_rows, task_rows).select(*(f"`{c}`" for c in left.columns))
     return _grid_join(left, right, on, how, task_rows, task_rows)
 
 
@@ -158,7 +166,34 @@ def on_grid(left: DataFrame, right: DataFrame, grid: DataFrame, on: str) -> tupl
     return placed[0], placed[1]
 
 
+def may_have_partner(left: DataFrame, right: DataFrame, on: str, most_keys: int = FILTER_KEYS) -> DataFrame:
+    """``left`` without most of the rows that have no partner in ``right``; it loses none that has one.
+
+    A Bloom filter with one hash: the distinct keys of ``right`` set bits of a bitmap with ``FILTER_BITS`` per key, kept as 4 kB pieces by
+    number, which are broadcast. A row without a partner passes if its bit is set by another key: one in ``FILTER_BITS``. With more
+    than ``most_keys`` distinct keys, counted first, nothing is filtered.
+    """
+    keys = right.select(on).where(F.col(on).isNotNull()).distinct()
+    n = keys.limit(most_keys + 1).count()
+    if n > most_keys:
+        return left
+    if not n:
+        return left.where(F.lit(False))
+    bit = F.pmod(F.xxhash64(on), F.lit(FILTER_BITS * n))
+    pieces = (
+        keys.groupBy(F.bitmap_bucket_number(bit).alias("__piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__bits"))
+    )
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (place % 8).cast("int")) == 1
+    held = left.withColumn("__piece", F.bitmap_bucket_number(bit)).join(F.broadcast(pieces), "__piece")
+    return held.where(is_set).drop("__piece", "__bits")
+
+
 def _grid_join(left, right, on, how, left_rows, right_rows):
+    if how == "inner":
+        left = may_have_partner(left, right, on)
     grid = stage(grid_of(left, right, on, how, left_rows, right_rows), "hot-keys")
     if grid.isEmpty():
         return left.join(right, on, how)

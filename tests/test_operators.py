@@ -23,7 +23,7 @@ from stormledger.operators import (
 )
 from stormledger.operators import joins
 from stormledger.operators.blocks import covering_nodes
-from stormledger.operators.profile import ragged_count
+from stormledger.operators.profile import ragged_count, row_fingerprint
 from stormledger.operators.row_ids import scan_position
 from stormledger.schemas import STATUS_LABELS, WIND_SCALE
 
@@ -505,3 +505,40 @@ def test_region_file(spark, tmp_path):
     pts = spark.createDataFrame([(0.5, 0.5), (1.5, 1.5)], "latitude double, longitude double")
     got = locate_points(pts, read_regions(spark, str(tmp_path / "r.json")))
     assert rows(got, "latitude", "state") == [(0.5, "T"), (1.5, None)]
+
+
+# -------------------------------------------------- rows that do not move
+def test_rows_without_a_partner_are_not_shuffled(spark, without_adaptive):
+    """The filter loses no partner and lets one in sixteen others pass; the join behind it is the plain one."""
+    left = spark.range(100_000).select((F.col("id") % 50_000).cast("string").alias("k"), "id")
+    left = left.unionByName(spark.createDataFrame([(None, 1)], "k string, id bigint"))
+    right = spark.range(0, 400).select((F.col("id") * 3).cast("string").alias("k"), F.col("id").alias("w"))
+    kept = joins.may_have_partner(left, right, "k")
+    assert kept.join(right, "k", "left_semi").count() == left.join(right, "k", "left_semi").count() == 800
+    assert 800 <= kept.count() < 800 + 100_000 / 16 * 1.3
+    assert joins.may_have_partner(left, right.limit(0), "k").count() == 0
+    assert joins.may_have_partner(left, right, "k", most_keys=10).count() == 100_001
+    for how in ("inner", "left_semi"):
+        got = skew_safe_join(left, right, "k", how, broadcast_rows=3, task_rows=1000)
+        assert rows(got) == rows(left.join(right, "k", how))
+        plan = nodes(got)
+        assert "SortMergeJoin" in plan
+        # in a printed plan a node's input stands below it: the join with the bitmap feeds the exchange
+        assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(k") < plan.index("__piece")
+
+
+def test_duplicate_groups_with_colliding_fingerprints(spark, without_adaptive):
+    rnd = random.Random(2)
+    data = [(rnd.randrange(40), rnd.choice(["x" * 200, "y" * 200, None]), rnd.choice([0.0, -0.0, float("nan"), 1.5])) for _ in range(600)]
+    df = spark.createDataFrame(data, "a int, `b c` string, d double").repartition(5)
+    alike = {}
+    for a, b, d in data:
+        key = (a, b, "nan" if d != d else d + 0.0)
+        alike[key] = alike.get(key, 0) + 1
+    want = sum(n > 1 for n in alike.values())
+    same = lambda columns: [F.lit(7).cast("bigint").alias("__f1"), F.lit(7).cast("bigint").alias("__f2")]
+    few = lambda columns: [(F.xxhash64(*columns) % 3).alias("__f1"), F.lit(0).cast("bigint").alias("__f2")]
+    for fingerprint in (row_fingerprint, same, few):
+        assert duplicate_groups(df, fingerprint=fingerprint).first()[0] == want
+    assert duplicate_groups(df.select("a").distinct()).first()[0] == 0
+    assert duplicate_groups(df.limit(0)).first()[0] == 0
