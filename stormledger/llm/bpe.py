@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a given vocabulary file, by a pair occurrence index.
 
-A task cuts its texts into slices and each slice into pre-tokens; distinct pre-tokens it has not met yet are
-encoded together. Their symbols stand in one flat list. An index maps each pair that has a
+A task cuts its texts into slices and each slice into pre-tokens; distinct pre-tokens it does not remember are
+encoded together, in blocks bounded in bytes. Their symbols stand in one flat list. An index maps each pair that has a
 rank to all positions where it occurs; the active ranks are taken in ascending order, a
 rank is applied at all its positions, and the lists of the neighbouring pairs are updated. A
 merge makes pairs of higher rank only (checked on load), so one ascending pass is complete.
@@ -28,8 +28,12 @@ from pyspark.sql import types as T
 from .common import slices
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-SLICE_BYTES = 16 << 20
-CACHED_WORDS = 1_000_000
+SLICE_BYTES = 2 << 20
+# What a task remembers: words with their ids and the objects around them, in two halves of this size.
+CACHE_BYTES = 48 << 20
+WORD_OVERHEAD = 200
+# Bytes of new words that are encoded together.
+LEARN_BYTES = 1 << 18
 FIRST_DISPUTED = "\u0530"
 
 
@@ -73,6 +77,8 @@ class Codec:
         for t, i in chain(vocab.items(), self.special.items()):
             self.text_of[i] = t.encode()
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.cached = 0
 
     def pre_tokens(self, text: str) -> list:
         """Words of the normalised text; an int is a special token's id."""
@@ -156,7 +162,11 @@ class Codec:
         ids = flat[keep].tobytes()
         for w, s, e in zip(words, starts, [*starts[1:], n]):
             lo = int(ends[s - 1]) if s else 0
-            self.cache[w] = ids[4 * lo : 4 * int(ends[e - 1])]
+            self.remember(w, ids[4 * lo : 4 * int(ends[e - 1])])
+
+    def remember(self, word, ids: bytes) -> None:
+        self.cache[word] = ids
+        self.cached += WORD_OVERHEAD + len(ids) + (len(word) if isinstance(word, str) else 0)
 
     @property
     def pair_of(self):
@@ -167,15 +177,26 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.pre_tokens(t) if t else [] for t in texts]
+        if self.cached > CACHE_BYTES:  # words not used again by the time the cache is full once more are forgotten
+            self.older, self.cache, self.cached = self.cache, {}, 0
         cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        new = {w for words in cut for w in words if w not in cache}
-        for w in [w for w in new if isinstance(w, int)]:
-            cache[w] = w.to_bytes(4, "little")
-            new.discard(w)
-        if new:
-            self.learn(sorted(new))
+        new, size = [], 0
+        for w in {w for words in cut for w in words if w not in cache}:
+            if isinstance(w, int):
+                self.remember(w, w.to_bytes(4, "little"))
+            elif w in self.older:
+                self.remember(w, self.older[w])
+            else:
+                new.append(w)
+        new.sort()
+        at = 0
+        for i, w in enumerate(new):
+            size += len(w)
+            if size >= LEARN_BYTES:
+                self.learn(new[at : i + 1])
+                at, size = i + 1, 0
+        if at < len(new):
+            self.learn(new[at:])
         return [b"".join(map(cache.__getitem__, words)) for words in cut]
 
     def decode(self, ids: bytes) -> bytes:

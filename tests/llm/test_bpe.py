@@ -1,3 +1,6 @@
+import random
+import tracemalloc
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -48,3 +51,26 @@ def test_frames(spark, library, documents, docs_of):
     got = bpe.round_trip(odd).collect()
     assert sorted(r.n_tokens for r in got) == [0, 0, 0, 1] and got[0].lang is None
     assert bpe.round_trip(docs_of([])).count() == 0
+
+
+def test_memory_stays_bounded_on_distinct_long_words(library, monkeypatch):
+    """However many distinct words a task meets, it keeps a fixed amount of them, and ids stay right."""
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2 << 20)
+    monkeypatch.setattr(bpe, "LEARN_BYTES", 1 << 14)
+    rng = random.Random(2)
+    codec = bpe.Codec(bpe.vocabulary_path())
+    slice_ = lambda: [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 90))) for _ in range(400)) + " same words" for _ in range(8)]
+    for texts in [slice_() for _ in range(2)]:
+        for text, ids in zip(texts, codec.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    tracemalloc.start()
+    try:
+        for _ in range(25):  # some 4 MB of words that occur once
+            codec.encode(slice_())
+            assert codec.cached <= (2 << 20) + (2 << 20)
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert kept < 10 << 20 and peak < 20 << 20
+    texts = slice_()
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
