@@ -1,11 +1,10 @@
 """Global row numbers 1..n without a one-partition window.
 
-Rows are laid out in parts (range partitions of a sort, or the splits of a text
-scan) and staged with their position inside the part. A count per part, summed
-up in part order, gives each part's offset; the row number is offset plus
-position. Only that table of one row per *part* ever meets in one task.
+Rows are laid out in parts (range partitions of a sort, ranges of keys, or the splits of a text
+scan). A count per part, summed up in part order, gives each part's offset; the row number is offset plus
+position in the part. Only that table of one row per *part* ever meets in one task.
 
-Staging fixes the layout, so both passes (count, then number) see the same parts
+One staged copy of the rows makes both passes (count, then number) see the same parts
 even when executors are lost or the scan is planned differently the second time.
 """
 
@@ -16,12 +15,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .joins import bounded_broadcast
-from .staging import discard, stage
+from .staging import stage
 
 # A row per split of a text scan, slim enough to broadcast a million of them (some 200 MB).
 # Past that, raise spark.sql.files.maxPartitionBytes or pay for a shuffle of the lines.
 BROADCAST_SPLITS = 1_000_000
 
+# Rows that one task should sort and number, and ranges at most: beyond that they grow.
+RANGE_ROWS, MOST_RANGES = 1_000_000, 4096
+SAMPLED, GROUP = 20, 64
+
 _PART, _FILE, _BLOCK, _POS, _SHIFT = "__part", "__file", "__block", "__pos", "__shift"
 
 
@@ -58,20 +61,58 @@ def global_row_id(
     rows is spread over many tasks. ``order_by`` should be total. Where whole
     rows may be copies, end it with a column made by :func:`scan_position`.
 
-    A sort looks at a sample of its input first, which computes the input twice. ``costly``: the
-    input is more than a scan (a join that multiplies rows), so it is written once and its scan is sorted; that copy is
-    deleted as soon as the sorted one stands.
+    A sort looks at a sample of its input first, which computes the input twice, and what it gives has to be written before it can be
+    counted. ``costly``: the input is more than a scan (a join that multiplies rows), so the input itself is written, once; ranges of
+    keys are cut from a sample of that copy, their rows are counted exactly, and the rows are numbered range by range
+    when the result is computed. ``order_by`` must then be ascending columns of text or whole numbers.
     """
-    unsorted = stage(df, "unsorted") if costly else df
+    if costly:
+        return _number_ranges(stage(df, "unsorted"), order_by, id_col, start)
     # A global sort numbers its partitions in key order; the id's upper bits hold that number.
-    laid_out = unsorted.orderBy(*order_by).withColumn(_POS, F.monotonically_increasing_id())
+    laid_out = df.orderBy(*order_by).withColumn(_POS, F.monotonically_increasing_id())
     staged = stage(laid_out, "sorted").withColumn(_PART, F.shiftright(_POS, 33))
-    if costly:
-        discard(unsorted)
     # One row per sort partition, so never more than spark.sql.shuffle.partitions.
     return _number_parts(staged, [_PART], id_col, start, F.broadcast)
 
 
+def range_bounds(staged: DataFrame, key: Column, ranges: int, rows: int) -> DataFrame:
+    """One row: ``fine``, the keys at which ranges begin, in groups of ``GROUP``, and ``coarse``, the first of each group.
+
+    From a sample of ``SAMPLED`` keys per range, so from a bounded number of keys.
+    """
+    share = min(1.0, SAMPLED * ranges / max(rows, 1))
+    sampled = staged.select(key.alias("k")).sample(share, seed=17).agg(F.sort_array(F.collect_list("k")).alias("keys"))
+    at = lambda i: F.get("keys", F.floor(F.size("keys") * i / ranges).cast("int"))
+    every = F.transform(F.sequence(F.lit(1), F.lit(max(ranges - 1, 1))), at)
+    cuts = sampled.select(F.array_distinct(F.array_compact(every)).alias("cuts"))
+    groups = F.sequence(F.lit(0), F.floor((F.size("cuts") - 1) / GROUP).cast("int"))
+    fine = F.when(F.size("cuts") > 0, F.transform(groups, lambda g: F.slice("cuts", g * GROUP + 1, GROUP)))
+    fine = F.coalesce(fine, F.array(F.slice("cuts", 1, 0)))
+    return cuts.select(fine.alias("fine")).withColumn("coarse", F.transform("fine", lambda g: F.get(g, F.lit(0))))
+
+
+def _number_ranges(staged: DataFrame, order_by: list[str | Column], id_col: str, start: int) -> DataFrame:
+    spark, rows = staged.sparkSession, staged.count()
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MOST_RANGES, max(-(-rows // RANGE_ROWS), min(parallel, rows), 1))
+    key = F.struct(*order_by)
+    bounds = range_bounds(staged, key, ranges, rows)
+    # a literal of at most MOST_RANGES keys, folded once, so that no row carries it
+    [texts] = bounds.select(*(F.to_json(F.struct(c)).alias(c) for c in bounds.columns)).collect()
+    kinds = {c: bounds.select(c).schema for c in bounds.columns}
+    coarse, fine = (F.from_json(F.lit(texts[c]), kinds[c])[c] for c in ("coarse", "fine"))
+    group = F.size(F.filter(coarse, lambda b: b <= key)) - 1
+    within = F.size(F.filter(F.get(fine, F.greatest(group, F.lit(0))), lambda b: b <= key))
+    ranged = staged.withColumn(_PART, F.greatest(group, F.lit(0)) * GROUP + within)
+    # a row per range: at most MOST_RANGES
+    sizes = ranged.groupBy(_PART).agg(F.count("*").alias("n"))
+    before = W.orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    shifts = stage(sizes.select(_PART, (F.coalesce(F.sum("n").over(before), F.lit(0)) + start - 1).alias(_SHIFT)), "range-sizes")
+    place = F.row_number().over(W.partitionBy(_PART).orderBy(*order_by))
+    numbered = ranged.withColumn(_POS, place).join(F.broadcast(shifts), _PART)
+    return numbered.withColumn(id_col, F.col(_POS) + F.col(_SHIFT)).drop(_PART, _POS, _SHIFT)
+
+
 def number_lines(lines: DataFrame, id_col: str = "_c0", start: int = 0) -> DataFrame:
     """Line index over a text scan, in file and line order, skipping lines of nothing but blanks.
 

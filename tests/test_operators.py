@@ -2,6 +2,7 @@
 
 import gzip
 import math
+import os
 import random
 
 import pytest
@@ -21,10 +22,11 @@ from stormledger.operators import (
     ragged_rows,
     skew_safe_join,
 )
-from stormledger.operators import joins
+from stormledger.operators import joins, row_ids, stage
 from stormledger.operators.blocks import covering_nodes
 from stormledger.operators.profile import ragged_count, row_fingerprint
 from stormledger.operators.row_ids import scan_position
+from stormledger.operators.staging import scratch_folder
 from stormledger.schemas import STATUS_LABELS, WIND_SCALE
 
 
@@ -542,3 +544,42 @@ def test_duplicate_groups_with_colliding_fingerprints(spark, without_adaptive):
         assert duplicate_groups(df, fingerprint=fingerprint).first()[0] == want
     assert duplicate_groups(df.select("a").distinct()).first()[0] == 0
     assert duplicate_groups(df.limit(0)).first()[0] == 0
+
+
+# ---------------------------------------------- row ids of costly inputs
+@pytest.mark.parametrize("settings", [{}, {"RANGE_ROWS": 50}, {"RANGE_ROWS": 3, "GROUP": 4, "SAMPLED": 2}, {"MOST_RANGES": 1}])
+def test_costly_row_ids_by_ranges(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(row_ids, name, value)
+    rnd = random.Random(8)
+    data = [(rnd.choice([None, "a", "hot", "hot", "hot", ""]), rnd.choice([None, *range(5)]), i) for i in range(900)]
+    df = spark.createDataFrame(data, "k string, v int, p int").repartition(7)
+    before = _staged(spark)
+    got = global_row_id(df, ["k", "v", "p"], "id", 11, costly=True)
+    new = [n for n in _staged(spark) - before if n.startswith(("unsorted", "sorted"))]
+    assert len(new) == 1  # one copy of the rows
+    low = lambda x: (x is not None, x if x is not None else 0)
+    want = sorted(data, key=lambda t: ((t[0] is not None, t[0] or ""), low(t[1]), t[2]))
+    assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r.id)] == want
+    assert sorted(r.id for r in got.collect()) == list(range(11, 911))
+    assert global_row_id(df.limit(0), ["k"], "id", costly=True).count() == 0
+    assert [r.id for r in global_row_id(df.limit(1), ["k"], "id", costly=True).collect()] == [1]
+
+
+def test_ranges_hold_about_as_many_rows(spark, without_adaptive, monkeypatch):
+    """A leading value that holds nearly all rows is split by the other keys."""
+    monkeypatch.setattr(row_ids, "RANGE_ROWS", 500)
+    df = spark.range(20_000).select(F.when(F.col("id") % 20 == 0, "b").otherwise("a").alias("k"), F.xxhash64("id").alias("v"))
+    staged = stage(df)
+    bounds = row_ids.range_bounds(staged, F.struct("k", "v"), 40, 20_000).first()
+    cuts = [tuple(b) for g in bounds.fine for b in g]
+    assert cuts == sorted(cuts) and len(cuts) == 39 and [tuple(g[0]) for g in bounds.fine] == [tuple(c) for c in bounds.coarse]
+    sizes = [0] * 40
+    for r in staged.collect():
+        sizes[sum(c <= (r.k, r.v) for c in cuts)] += 1
+    assert max(sizes) < 2.2 * 500 and min(sizes) > 0
+
+
+def _staged(spark):
+    folder = f"{scratch_folder(spark)}/stormledger"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
