@@ -14,7 +14,8 @@ Candidates are confirmed on their full sets.
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**6)**40, about 5e-6.
 
 Defined cases: null and empty texts (or texts of white space) have an empty set and stand alone; a text of fewer
-words than a shingle is one shingle; rows that repeat an id and its text are each returned; a
+words than a shingle is one shingle; rows that repeat an id and its text are each returned; where an id has several
+texts, each of them has its own links, and the group of each is named after the smallest id in it; a
 null id stands alone; further columns are ignored by ``near_duplicates``.
 """
 
@@ -27,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stormledger.operators.row_ids import global_row_id
+
 from .common import slices, stage
 from .quality import text_bytes
 
@@ -313,8 +316,8 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; linked: 100 * common >= percent * united."""
+def groups_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row, where no id has two texts."""
     rows = stage(sketch_table(docs, words), "sketches")
     usable = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     copies = (
@@ -357,8 +360,67 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def by_node(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ids that each have one text, and (node, id) of the ids that had to be given.
+
+    Where an id has several texts, each of these gets a number that no id has, so that links of one text are not taken for links
+    of the other. Without such ids ``docs`` stays as it is.
+    """
+    keys = [F.xxhash64("text").alias("__t1"), F.xxhash64(F.lit(1), "text").alias("__t2")]
+    keyed = docs.select("*", *keys).where("doc_id IS NOT NULL")
+    text = F.struct("__t1", "__t2")
+    several = keyed.groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("top")).where("low < top")
+    several = stage(several.select("doc_id"), "several-texts")
+    if several.isEmpty():
+        return docs, None
+    versions = keyed.join(several, "doc_id", "left_semi").select("doc_id", "__t1", "__t2").distinct()
+    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id")).first() + (versions.count(),)
+    if low - n >= -(2**63):
+        first = low - n - 1
+    elif high + n < 2**63:
+        first = high
+    else:
+        raise ValueError("no numbers are left beside the ids")
+    numbered = global_row_id(versions, ["doc_id", "__t1", "__t2"], "__node", first + 1)
+    named = stage(numbered, "nodes")
+    given = docs.select("*", *keys).join(named, ["doc_id", "__t1", "__t2"], "left")
+    renamed = given.withColumn("doc_id", F.coalesce("__node", "doc_id")).select(*docs.columns)
+    return stage(renamed, "renamed"), named.select(F.col("__node").alias("node"), F.col("doc_id").alias("id"))
+
+
+def solve(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(docs, groups): ``docs`` by node, and (doc_id, n_shingles, component_id, kept, node, stays) of every row.
+
+    ``stays``: the row's text is the one of its group that is kept.
+    """
+    own, names = by_node(docs)
+    found = groups_of(own, words, percent)
+    if names is None:
+        return own, found.withColumns({"node": F.col("doc_id"), "stays": F.col("kept")})
+    found = stage(found.join(names, found["doc_id"] == names["node"], "left").select(
+        F.coalesce("id", "doc_id").alias("doc_id"), "n_shingles", F.col("component_id").alias("c"), F.col("doc_id").alias("node")
+    ), "groups")
+    # a group's name is its smallest id, which need not be its smallest node
+    least = found.groupBy("c").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    return own, found.join(least, "c", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.col("least.doc_id")).alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("least.doc_id"), F.lit(True)).alias("kept"),
+        "node",
+        F.coalesce(F.col("node") == F.col("least.node"), F.lit(True)).alias("stays"),
+    )
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; linked: 100 * common >= percent * united."""
+    return solve(docs, words, percent)[1].select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near duplicates; rows of null id all stay."""
-    kept = near_duplicates(docs, words, percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    own, found = solve(docs, words, percent)
+    kept = found.where("stays AND node IS NOT NULL").select(F.col("node").alias("doc_id"), F.col("doc_id").alias("__id")).distinct()
+    one = own.join(kept, "doc_id").dropDuplicates(["doc_id"])
+    named = one.withColumn("doc_id", F.col("__id")).select(*docs.columns)
     return named.unionByName(docs.where("doc_id IS NULL"))

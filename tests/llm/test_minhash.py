@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from stormledger.llm import minhash
 
@@ -89,3 +90,32 @@ def test_blocks_of_a_bucket(docs_of, monkeypatch):
             copy[rng.randrange(60)] = f"n{rng.randrange(9)}"
         rows.append((i, " ".join(copy)))
     assert found(minhash.near_duplicates(docs_of(rows), words=4)) == brute_force(rows, 4, 80)
+
+
+def test_ids_with_several_texts(docs_of):
+    """Links of one text are not lost to another text of the same id, whichever row comes first."""
+    rng = random.Random(11)
+    text = lambda: " ".join(rng.choices([f"v{i}" for i in range(900)], k=80))
+    a, b, c = text(), text(), text()
+    near = lambda t: " ".join([*t.split()[:-2], "odd", "end"])
+    rows = [(1, a), (1, b), (3, near(b)), (2, a), (5, c), (4, near(c)), (4, c), (4, "own words only here"), (None, b), (6, "x y"), (1, a)]
+    # rows are the documents; a group is named after its smallest id
+    want = sorted([(1, 1), (1, 1), (1, 1), (3, 1), (2, 1), (5, 4), (4, 4), (4, 4), (4, 4), (None, None), (6, 6)], key=str)
+    for given in (rows, rows[::-1], [rows[i] for i in (1, 0, 2, 7, 6, 5, 4, 3, 10, 9, 8)]):
+        table = docs_of(given).withColumnRenamed("lang", "id")
+        got = minhash.near_duplicates(table).collect()
+        assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == want
+        assert all(r.kept == (r.doc_id == r.component_id) or r.doc_id is None for r in got)
+        kept = minhash.keep_one(table).collect()
+        assert [k for k, _ in sorted(((r.doc_id, r.text) for r in kept), key=str)] == [1, 1, 4, 4, 6, None]
+        assert {r.text for r in kept if r.doc_id == 1} == {a, b}
+        texts = {r.text for r in kept if r.doc_id == 4}
+        assert len(texts) == 2 and "own words only here" in texts
+
+
+def test_numbers_for_texts_beside_extreme_ids(docs_of):
+    low, high = -(2**63), 2**63 - 1
+    got = minhash.near_duplicates(docs_of([(low, "a b c d e f"), (low, "g h i j k l"), (7, "a b c d e f")])).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(low, low), (low, low), (7, low)]
+    with pytest.raises(ValueError, match="numbers"):
+        minhash.near_duplicates(docs_of([(low, "a"), (low, "b"), (high, "c")]))
