@@ -32,6 +32,10 @@ MOST_LANGUAGES = 1000
 RIDGE = 0.1
 SHARPNESS = 8.0
 LEAST_SCORE = 0.3
+# A text is familiar if it shares this part of what all but the strangest hundredth of the sample share with the landmarks.
+FAMILIAR_PART, STRANGEST = 0.8, 0.01
+# Texts of fewer characters say too little to be strange.
+LEAST_CHARS = 20
 BITS = 6
 OTHER = 63
 ORDERS = (1, 2, 3)
@@ -47,6 +51,7 @@ class Model:
     columns: list[np.ndarray]  # per order, the grams that a landmark has
     weights: np.ndarray  # columns of all orders x languages
     bias: np.ndarray
+    least_familiar: float  # share of a text's 2- and 3-grams that some landmark must have
 
 
 def letter_classes(texts: list[str]) -> np.ndarray:
@@ -86,22 +91,32 @@ def new_flags() -> list[np.ndarray]:
     return [np.zeros(1 << (BITS * n), dtype=np.uint8) for n in ORDERS]
 
 
-def features(texts: list[str], classes, columns, flags) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of presence over the landmarks' grams, divided by sqrt(grams of the text); and has-a-letter."""
+def features(texts: list[str], classes, columns, flags) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of presence over the landmarks' grams, divided by sqrt(grams of the text); has-a-letter; familiarity.
+
+    Familiarity is the share of a text's grams that some landmark has, the mean over the orders 2 and 3 that the text has
+    (1 for a text of fewer than ``LEAST_CHARS`` characters). The margins compare languages with each other; this compares a text with all of them.
+    """
     width = sum(map(len, columns))
     out = np.zeros((len(texts), width), dtype=np.float32)
     lettered = np.zeros(len(texts), dtype=bool)
+    familiar = np.ones(len(texts))
     for i, t in enumerate(texts):
         if not t:
             continue
         lettered[i] = presence(t, classes, flags)
-        at = 0
-        for f, cols in zip(flags, columns):
+        at, shares = 0, []
+        for order, f, cols in zip(ORDERS, flags, columns):
             n = int(f.sum(dtype=np.int64))
             if n:
-                np.multiply(f[cols], np.float32(1 / np.sqrt(n)), out=out[i, at : at + len(cols)])
+                known = f[cols]
+                np.multiply(known, np.float32(1 / np.sqrt(n)), out=out[i, at : at + len(cols)])
+                if order > 1:
+                    shares.append(int(known.sum(dtype=np.int64)) / n)
             at += len(cols)
-    return out, lettered
+        if shares and len(t) >= LEAST_CHARS:
+            familiar[i] = sum(shares) / len(shares)
+    return out, lettered, familiar
 
 
 def fit_model(sample: list[tuple[str, str]]) -> Model | None:
@@ -119,9 +134,9 @@ def fit_model(sample: list[tuple[str, str]]) -> Model | None:
         for s, f in zip(seen, flags):
             s |= f
     columns = [np.flatnonzero(s) for s in seen]
-    base, _ = features(landmarks, classes, columns, flags)
+    base, _, _ = features(landmarks, classes, columns, flags)
     base /= len(ORDERS)
-    x, _ = features([t for _, t in sample], classes, columns, flags)
+    x, _, familiar = features([t for _, t in sample], classes, columns, flags)
     own = (base * len(ORDERS)) @ base.T
     values, vectors = np.linalg.eigh(own.astype(np.float64))
     good = values > 1e-6 * values.max(initial=1e-12)
@@ -132,7 +147,8 @@ def fit_model(sample: list[tuple[str, str]]) -> Model | None:
     w = (1 / counts)[:, None]  # each language weighs the same
     penalty = RIDGE * np.eye(phi.shape[1]) / len(x)
     beta = np.linalg.solve(phi.T @ (w * phi) + penalty, phi.T @ (w * y))
-    return Model(languages, classes, columns, (nystroem @ beta[:-1]).astype(np.float32), beta[-1].astype(np.float32))
+    weights, bias = (nystroem @ beta[:-1]).astype(np.float32), beta[-1].astype(np.float32)
+    return Model(languages, classes, columns, weights, bias, FAMILIAR_PART * float(np.quantile(familiar, STRANGEST)))
 
 
 def draw_sample(docs: DataFrame, training: Column) -> list[tuple[str, str]]:
@@ -168,19 +184,19 @@ def train(docs: DataFrame, training: Column | None = None) -> Model | None:
     return fit_model(draw_sample(docs, F.lit(True) if training is None else training))
 
 
-def predict(texts: list[str | None], model: Model | None, flags: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
-    """Languages and scores of a block of texts."""
+def predict(texts: list[str | None], model: Model | None, flags: list[np.ndarray]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, scores and familiarity of a block of texts."""
     names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     if model is None:
-        return names, scores
-    x, lettered = features(texts, model.classes, model.columns, flags)
+        return names, scores, np.zeros(len(texts))
+    x, lettered, familiar = features(texts, model.classes, model.columns, flags)
     margins = (x @ model.weights + model.bias).astype(np.float64)
     best = margins.argmax(axis=1)
     top = 1 / np.exp(SHARPNESS * (margins - margins.max(axis=1, keepdims=True))).sum(axis=1)
     for i, t in enumerate(texts):
         if t and (lettered[i] or letters(t)):
             names[i], scores[i] = model.languages[best[i]], top[i]
-    return names, scores
+    return names, scores, familiar
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -198,7 +214,7 @@ def classify(docs: DataFrame, model: Model | None, column: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = new_flags()
         for batch, texts in blocks(batches, column):
-            names, scores = predict(texts, model, flags)
+            names, scores, _ = predict(texts, model, flags)
             old = {f.name: batch.column(batch.schema.get_field_index(f.name)) for f in kept}
             yield pa.RecordBatch.from_pydict(
                 old | {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
@@ -208,9 +224,8 @@ def classify(docs: DataFrame, model: Model | None, column: str = "text") -> Data
 
 
 def keep_identified(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE, column: str = "text") -> DataFrame:
-    """``docs`` without the texts that are in no learned language (``und``) or score below ``least``.
-
-    Without a model nothing can be rejected.
+    """``docs`` without the texts that are in no learned language: without a letter (``und``), of a score below ``least``, or less
+    familiar than the training sample lets one expect. Without a model nothing can be rejected.
     """
     if model is None:
         return docs
@@ -218,8 +233,9 @@ def keep_identified(docs: DataFrame, model: Model | None, least: float = LEAST_S
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = new_flags()
         for batch, texts in blocks(batches, column):
-            names, scores = predict(texts, model, flags)
-            keep = [n != UNDETERMINED and s >= least for n, s in zip(names, scores)]
+            names, scores, familiar = predict(texts, model, flags)
+            known = (scores >= least) & (familiar >= model.least_familiar)
+            keep = [n != UNDETERMINED and bool(k) for n, k in zip(names, known)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

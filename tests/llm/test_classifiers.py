@@ -1,5 +1,7 @@
 """Held-out accuracy on the given tables; defined results for odd input."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +172,53 @@ def test_toxicity_of_odd_texts(docs_of):
     assert {r.score for r in toxicity.score(docs_of(ODD), bare).collect()} == {0.0}
     restored = {r.doc_id: r.restored for r in toxicity.restore(docs_of([(1, "An 1D10T  here"), (2, None)]), model).collect()}
     assert restored == {1: "an idiot  here", 2: None}
+
+
+UNLEARNED = [
+    "日本語の文章は漢字と仮名で書かれており、句読点を使って区切られます。今日はとても良い天気です。",
+    "Сегодня хорошая погода, и мы пошли гулять в парк вместе с друзьями и собакой.",
+    "Wczoraj wieczorem poszliśmy do kina, żeby obejrzeć nowy film, który wszystkim bardzo się spodobał.",
+    " ".join("".join(random.Random(i).choices("bcdfghjklmnpqrstvwxz", k=3 + i % 7)) for i in range(60)),
+]
+
+
+def test_unlearned_languages_are_rejected(spark, docs_of):
+    """Texts of other languages and random letters go; texts of learned languages stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs)
+    assert langid.keep_identified(docs_of(list(enumerate(UNLEARNED))), model).count() == 0
+    lettered = docs.where("text rlike '\\\\p{L}'")
+    assert langid.keep_identified(lettered, model).count() >= 0.99 * lettered.count()
+
+
+def test_margins_against_the_kernel_computed_directly():
+    """Kernels as sums over common grams, Nyström features by eigenvectors, ridge regression with weights: no folding."""
+    rng = random.Random(6)
+    base = {"x": "aeioulmn", "y": "krstvaeu", "z": "bdgpoaiz"}
+    text = lambda lang: " ".join("".join(rng.choices(base[lang], k=rng.randint(2, 6))) for _ in range(rng.randint(3, 25)))
+    sample = [(lang, text(lang)) for _ in range(40) for lang in base]
+    model = langid.fit_model(sample)
+
+    def grams(t):
+        c = [ch if ch.isalpha() else "." for ch in t.lower()]
+        return [{"".join(c[i : i + n]) for i in range(len(c) - n + 1)} for n in (1, 2, 3)]
+
+    def kernel(a, b):
+        return sum(len(x & y) / np.sqrt(len(x) * len(y)) for x, y in zip(a, b)) / 3
+
+    each = langid.LANDMARKS // 3
+    marks = [grams(t) for lang in sorted(base) for t in [t for x, t in sample if x == lang][:each]]
+    texts = [grams(t) for _, t in sample]
+    own = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(own)
+    good = values > 1e-6 * values.max()
+    to_features = vectors[:, good] / np.sqrt(values[good])
+    phi = np.hstack([np.array([[kernel(a, b) for b in marks] for a in texts]) @ to_features, np.ones((len(texts), 1))])
+    y = np.array([[1.0 if lang == other else -1.0 for other in sorted(base)] for lang, _ in sample])
+    w = np.full((len(texts), 1), 1 / 40)
+    beta = np.linalg.solve(phi.T @ (w * phi) + langid.RIDGE * np.eye(phi.shape[1]) / len(texts), phi.T @ (w * y))
+    fresh = [text(lang) for lang in base for _ in range(10)]
+    direct = np.hstack([np.array([[kernel(grams(t), b) for b in marks] for t in fresh]) @ to_features, np.ones((30, 1))]) @ beta
+    x, _, _ = langid.features(fresh, model.classes, model.columns, langid.new_flags())
+    assert np.allclose(x @ model.weights + model.bias, direct, atol=2e-3)
+    assert langid.predict(fresh, model, langid.new_flags())[0] == [lang for lang in base for _ in range(10)]
