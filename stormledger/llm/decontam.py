@@ -16,7 +16,8 @@ anchor. A text is missed only if no ``GRAM`` bytes stand untouched or every samp
 the target is 0.97 up to ``EDITS``. The walk covers about ``STEPS / 2`` bytes from the anchor; anchors in all parts of
 the item sample the rest, and the exact check sees the whole. Items of fewer than ``SHORT`` bytes are found without sampling: one of the pieces between their edits stands untouched.
 
-The items are broadcast in parts of at most ``PART_BYTES``, one pass over the texts for each; texts are not
+The items travel with the plan in parts of about ``PART_BYTES`` of text (some 17 times that once prepared), one pass over the texts for each;
+a pass is written before the next part is read, so that one part is on the driver and in a plan at a time. Texts are not
 shuffled. Defined cases: null, empty and wordless texts and items match nothing; items of equal text are all
 reported; repeated rows of a text are each reported; further columns are ignored.
 """
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import discard, slices, stage
 from .quality import text_bytes
 
 GRAM = 9
@@ -43,7 +44,7 @@ WALKS = 3
 SAMPLES = 20
 BITS = 6
 EDITS = 0.2
-PART_BYTES = 8 << 20
+PART_BYTES = 1 << 20
 RECORDS = 1 << 14
 KEPT_BYTES = 64 << 20
 CHUNK = 1 << 16
@@ -379,10 +380,13 @@ def leaks_of(data: np.ndarray, ends: np.ndarray, items: Items) -> list[tuple[int
     return [(d, i, *v) for (d, i), v in sorted(best.items())]
 
 
-def item_parts(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items in parts that are small enough to broadcast; only one part is on the driver at a time per call."""
+def count_parts(items: DataFrame) -> int:
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
+    return max(1, -(-size // PART_BYTES))
+
+
+def item_parts(items: DataFrame, parts: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in parts that are small enough to send with a plan; the next is read when it is asked for."""
     for p in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).where("text IS NOT NULL")
         yield [(r["item_id"], r["text"]) for r in own.select("item_id", "text").orderBy("item_id", "text").collect()]
@@ -410,7 +414,10 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return docs.select("doc_id", "text").mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, [passes(prepare(part)) for part in item_parts(items)])
+    parts = count_parts(items)
+    if parts == 1:
+        return passes(prepare(next(item_parts(items, 1))))
+    return reduce(DataFrame.unionByName, [stage(passes(prepare(part)), "leaks") for part in item_parts(items, parts)])
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -427,6 +434,12 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return run
 
-    for part in item_parts(items):
+    parts, before = count_parts(items), None
+    for i, part in enumerate(item_parts(items, parts)):
         docs = docs.mapInArrow(passes(prepare(part)), docs.schema)
+        if i < parts - 1:
+            docs = stage(docs, "clean")
+            if before is not None:
+                discard(before)
+            before = docs
     return docs

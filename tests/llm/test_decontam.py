@@ -140,3 +140,19 @@ def test_other_punctuation_and_spaces_are_blanks():
     data, ends = decontam.text_bytes(pa.array(["Ünï ª あ้é—　x", "’"]))
     form, stop, _ = decontam.plain(data, ends)
     assert form.tobytes().decode() == "ünï ª あ้é x " and stop.tolist() == [len(form) - 1, len(form)]
+
+
+def test_items_in_parts(spark, docs_of, monkeypatch):
+    """Each part has a pass of its own; a plan holds the items of one part, and the results are the same."""
+    texts = ["the quick brown fox jumps over the lazy dog number %d and sleeps until noon" % (i * 7919) for i in range(12)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = docs_of([(i, f"before {t} after") for i, t in enumerate(texts[:8])] + [(90, "nothing of the kind"), (91, None)])
+    find = lambda: sorted(map(tuple, decontam.find_leaks(docs, items).collect()))
+    keep = lambda: sorted(r.doc_id for r in decontam.drop_contaminated(docs, items).collect())
+    whole, kept = find(), keep()
+    assert kept == [90, 91] and {r[0] for r in whole} == set(range(8))
+    monkeypatch.setattr(decontam, "PART_BYTES", 200)
+    assert decontam.count_parts(items) > 3
+    assert find() == whole and keep() == kept
+    plan = decontam.drop_contaminated(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
