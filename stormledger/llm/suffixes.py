@@ -13,8 +13,10 @@ A byte is a duplicate if a string of ``LENGTH`` bytes that covers it also starts
    collection's Burrows-Wheeler transform) and derives the common prefixes of neighbours
    from range minima of the round before. A window is a duplicate if a neighbour shares ``LENGTH`` symbols.
 
-Collections of more than ``MOST_SEGMENTS`` segments do not fit one task: there the windows' hashes are
-grouped instead, which finds the same windows.
+A collection of more than ``MOST_SEGMENTS`` segments is split before it is built. Its windows are dealt out by where they start, in classes
+of neighbouring starts; all windows of a class hold the same middle, and equal windows have equal middles. So a class and a middle are a collection
+of their own, built in the same way. Classes get narrower (``CLASSES``) until a collection fits a task; at one start the middle is the
+window itself, and collections of any size are just windows that are equal. No anchor, however common, meets in one task.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``LENGTH`` lose nothing; repeated rows are
 duplicates of each other; strings overlap freely and never cross rows; further columns are ignored.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,8 @@ WIDTH = BACK + LENGTH
 PAD = 0xFF  # no byte of UTF-8
 SLICE_BYTES = 1 << 20
 BLOCK_SEGMENTS = 12_000
-MOST_SEGMENTS = 100_000
+MOST_SEGMENTS = 2048
+CLASSES = (42, 6, 1)  # starts per class
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 BYTES = constants(1 << 40, 256)
 STEPS = constants(1 << 41, 8)
@@ -184,20 +188,24 @@ def build_columns(symbols: np.ndarray, group: np.ndarray, first: np.ndarray, las
 
 
 def shared_windows(segments: DataFrame) -> DataFrame:
-    """(anchor, segment, start, stop) relative to the anchor: what a segment shares with others of its anchor."""
+    """(anchor, segment, start, stop) relative to the anchor: what a segment shares with others of its collection.
+
+    ``segments``: (coll, anchor, segment, back, ahead, lo, hi, body); windows from column ``lo`` to ``hi`` count.
+    """
 
     def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
-        anchor = t["anchor"].to_numpy()
-        back, ahead = t["back"].to_numpy().astype(np.int64), t["ahead"].to_numpy().astype(np.int64)
+        number = lambda name: t[name].to_numpy().astype(np.int64)
+        back, ahead = number("back"), number("ahead")
         body = t["body"].combine_chunks()
         body = body.chunk(0) if isinstance(body, pa.ChunkedArray) else body
         offset = np.frombuffer(body.buffers()[1], np.int32)[body.offset : body.offset + len(body) + 1]
         data = np.frombuffer(body.buffers()[2], np.uint8)
-        symbols = np.full((len(anchor), WIDTH), PAD, np.uint8)
-        for i in range(len(anchor)):
+        symbols = np.full((len(back), WIDTH), PAD, np.uint8)
+        for i in range(len(back)):
             symbols[i, BACK - back[i] : BACK + ahead[i]] = data[offset[i] : offset[i + 1]]
-        least, most = build_columns(np.ascontiguousarray(symbols.T), anchor, BACK - back, BACK + ahead - LENGTH)
+        first, last = np.maximum(BACK - back, number("lo")), np.minimum(BACK + ahead - LENGTH, number("hi"))
+        least, most = build_columns(np.ascontiguousarray(symbols.T), number("coll"), first, last)
         return pa.RecordBatch.from_pydict(
             {
                 "anchor": t["anchor"].combine_chunks(),
@@ -216,8 +224,8 @@ def shared_windows(segments: DataFrame) -> DataFrame:
             if count < BLOCK_SEGMENTS:
                 continue
             t = pa.Table.from_batches(held).combine_chunks()
-            anchor = t["anchor"].to_numpy()
-            last = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on in the next batch
+            coll = t["coll"].to_numpy()
+            last = int(np.searchsorted(coll, coll[-1]))  # the last collection may go on in the next batch
             if last:
                 yield solve(t.slice(0, last).to_batches())
             held = t.slice(last).to_batches()
@@ -225,44 +233,68 @@ def shared_windows(segments: DataFrame) -> DataFrame:
         if count:
             yield solve(held)
 
-    ordered = segments.repartition("anchor").sortWithinPartitions("anchor", "segment")
+    ordered = segments.repartition("coll").sortWithinPartitions("coll", "segment")
     return ordered.mapInArrow(run, "anchor long, segment long, start int, stop int")
 
 
-def shared_windows_by_hash(segments: DataFrame) -> DataFrame:
-    """The same for anchors of very many segments: every window's hash is a row."""
+def as_collections(segments: DataFrame) -> DataFrame:
+    """An anchor is a collection, and all its windows count."""
+    return segments.select(F.col("anchor").alias("coll"), "*", F.lit(0).alias("lo"), F.lit(BACK).alias("hi"))
+
+
+def classes_of(segments: DataFrame, width: int) -> DataFrame:
+    """(anchor, segment, lo, hi, m1, m2): a row per class of ``width`` starts in which a segment has windows, and its middle.
+
+    ``segments``: (anchor, segment, back, ahead, lo, hi, body).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        up, down = powers(BASE, WIDTH + 1), powers(INVERSE, WIDTH + 1)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
-                out: list[pa.RecordBatch] = []
-                for row in whole.slice(at, 256).to_pylist():
-                    data = np.frombuffer(row["body"], np.uint8)
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[data] * up[: len(data)], dtype=np.uint64)])
-                    n = len(data) - LENGTH + 1
-                    hashes = mix((sums[LENGTH:] - sums[:-LENGTH]) * down[:n])
-                    out.append(
-                        pa.RecordBatch.from_pydict(
-                            {
-                                "anchor": pa.array(np.full(n, row["anchor"]), pa.int64()),
-                                "segment": pa.array(np.full(n, row["segment"]), pa.int64()),
-                                "start": pa.array(np.arange(n) - row["back"], pa.int32()),
-                                "window": pa.array(hashes.view(np.int64)),
-                            }
-                        )
-                    )
-                yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-
-    windows = segments.mapInArrow(run, "anchor long, segment long, start int, window long")
-    again = windows.groupBy("anchor", "start", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return (
-        windows.join(again, ["anchor", "start", "window"])
-        .groupBy("anchor", "segment")
-        .agg(F.min("start").alias("start"), (F.max("start") + LENGTH).alias("stop"))
+                out: dict[str, list] = {k: [] for k in ("anchor", "segment", "lo", "hi", "m1", "m2")}
+                for r in whole.slice(at, 256).to_pylist():
+                    begin = BACK - r["back"]
+                    first, last = max(begin, r["lo"]), min(BACK + r["ahead"] - LENGTH, r["hi"])
+                    for lo in range(r["lo"], r["hi"] + 1, width):
+                        hi = min(lo + width - 1, r["hi"])
+                        if first > hi or last < lo:
+                            continue
+                        middle = hashlib.blake2b(r["body"][hi - begin : lo + LENGTH - begin], digest_size=16).digest()
+                        values = (r["anchor"], r["segment"], lo, hi, *np.frombuffer(middle, "<i8").tolist())
+                        for c, v in zip(out.values(), values):
+                            c.append(v)
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
+
+    return segments.select("anchor", "segment", "back", "ahead", "lo", "hi", "body").mapInArrow(
+        run, "anchor long, segment long, lo int, hi int, m1 long, m2 long"
     )
 
 
+def split_collections(bodies: DataFrame) -> DataFrame:
+    """:func:`shared_windows` for anchors with more segments than a task should hold."""
+    bodies = stage(bodies, "crowded")
+    parts, asked = [], as_collections(bodies).drop("coll")
+    for width in CLASSES:
+        dealt = stage(classes_of(asked, width), "classes")
+        keys = ["anchor", "lo", "m1", "m2"]
+        sizes = stage(dealt.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), "middles")
+        if width == 1:  # the middle is the whole window
+            equal = dealt.join(sizes.select(*keys), keys, "left_semi")
+            start = (F.col("lo") - BACK).alias("start")
+            parts.append(equal.select("anchor", "segment", start, (F.col("lo") - BACK + LENGTH).alias("stop")))
+            break
+        fit = dealt.join(sizes.where(F.col("n") <= MOST_SEGMENTS).select(*keys), keys)
+        fit = fit.select("anchor", "segment", "lo", "hi", F.xxhash64(*keys).alias("coll")).join(bodies, ["anchor", "segment"])
+        parts.append(shared_windows(fit))
+        crowded = sizes.where(F.col("n") > MOST_SEGMENTS)
+        if crowded.isEmpty():
+            break
+        left = dealt.join(crowded.select(*keys), keys).select("anchor", "segment", "lo", "hi")
+        asked = left.join(bodies, ["anchor", "segment"])
+    return reduce(DataFrame.unionByName, parts)
+
+
 def with_keys(docs: DataFrame, *columns: str) -> DataFrame:
     """128 bits that name a row by its id and text, so that ids may repeat or be null."""
     return docs.select(
@@ -305,10 +337,10 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     size = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
     large = size.where(F.col("kinds") > MOST_SEGMENTS)
     if large.isEmpty():
-        shared = shared_windows(cut_segments(rows, kinds))
+        shared = shared_windows(as_collections(cut_segments(rows, kinds)))
     else:
         few, many = kinds.join(large, "anchor", "left_anti"), kinds.join(large, "anchor", "left_semi")
-        shared = shared_windows(cut_segments(rows, few)).unionByName(shared_windows_by_hash(cut_segments(rows, many)))
+        shared = shared_windows(as_collections(cut_segments(rows, few))).unionByName(split_collections(cut_segments(rows, many)))
     once = kinds.where("copies = 1").join(shared, ["anchor", "segment"])
     whole = repeated.join(copied, ["anchor", "segment"])
     spans = once.select("k1", "k2", (F.col("pos") + F.col("start")).alias("start"), (F.col("pos") + F.col("stop")).alias("stop"))

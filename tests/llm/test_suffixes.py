@@ -38,10 +38,11 @@ def texts():
     ]
 
 
-@pytest.mark.parametrize("most", [suffixes.MOST_SEGMENTS, 1])
-def test_against_brute_force(docs_of, monkeypatch, most):
-    """By columns, and by window hashes where a collection is too large for a task."""
+@pytest.mark.parametrize("most, classes", [(suffixes.MOST_SEGMENTS, suffixes.CLASSES), (1, suffixes.CLASSES), (2, (100, 7, 1)), (1, (1,))])
+def test_against_brute_force(docs_of, monkeypatch, most, classes):
+    """Collections as they are, and split by place until they fit a task."""
     monkeypatch.setattr(suffixes, "MOST_SEGMENTS", most)
+    monkeypatch.setattr(suffixes, "CLASSES", classes)
     monkeypatch.setattr(suffixes, "BLOCK_SEGMENTS", 5)
     rows = list(enumerate(texts()))
     got = {r.doc_id: tuple(r)[1:] for r in suffixes.removal_digests(docs_of(rows).withColumnRenamed("lang", "k1")).collect()}
@@ -54,6 +55,26 @@ def test_table_against_brute_force(documents):
     assert [got[r.doc_id] for r in rows] == brute_force([r.text for r in rows])
 
 
+def test_one_anchor_of_many_segments_meets_in_no_single_task(docs_of, monkeypatch):
+    """A passage in many near copies: the largest collection that is built stays within the bound."""
+    monkeypatch.setattr(suffixes, "MOST_SEGMENTS", 40)
+    rng = random.Random(4)
+    passage = "".join(rng.choices("abcdefgh ", k=600))
+    rows = []
+    for i in range(260):
+        near = list(passage)
+        for _ in range(rng.randint(0, 2)):
+            near[rng.randrange(len(near))] = "#"
+        rows.append((i, f"{rng.random()} " * 4 + "".join(near) + f" {rng.random()}" * 3))
+    built = []
+    real = suffixes.shared_windows
+    monkeypatch.setattr(suffixes, "shared_windows", lambda segments: built.append(segments) or real(segments))
+    got = {r.doc_id: tuple(r)[1:] for r in suffixes.removal_digests(docs_of(rows)).collect()}
+    assert [got[i] for i, _ in rows] == brute_force([t for _, t in rows])
+    largest = [s.groupBy("coll").count().agg({"count": "max"}).first()[0] for s in built]
+    assert len(built) > 1 and max(n or 0 for n in largest) <= 40
+
+
 def test_repeated_rows_null_ids_and_empty_table(docs_of):
     t = "".join(random.Random(1).choices("abcdef", k=700))
     got = suffixes.removal_digests(docs_of([(1, t), (1, t), (None, t), (2, "z")])).collect()
