@@ -24,6 +24,7 @@ from stormledger.operators import (
 )
 from stormledger.operators import joins, row_ids, stage
 from stormledger.operators.blocks import covering_nodes
+from stormledger.operators.regions import CELL_DEGREES, quadtree
 from stormledger.operators.profile import ragged_count, row_fingerprint
 from stormledger.operators.row_ids import scan_position
 from stormledger.operators.staging import scratch_folder
@@ -301,11 +302,11 @@ def map_and_points(spark):
     return regions, df, want
 
 
-@pytest.mark.parametrize("cell", [1.0, 0.7, 7.0])
-@pytest.mark.parametrize("bounds", [(10**9, 10**9), (0, 0)])
-def test_locate_points_equals_ray_cast(map_and_points, cell, bounds):
+@pytest.mark.parametrize("cell, edges, levels", [(8.0, 32, 14), (1.0, 10**9, 0), (0.7, 10**9, 0), (50.0, 6, 6), (7.0, 0, 3)])
+@pytest.mark.parametrize("bound", [10**9, 0])
+def test_locate_points_equals_ray_cast(map_and_points, cell, edges, levels, bound):
     regions, points, want = map_and_points
-    got = locate_points(points, regions, cell=cell, broadcast_cells=bounds[0], cell_parts=bounds[1])
+    got = locate_points(points, regions, cell=cell, broadcast_cells=bound, cell_edges=edges, levels=levels)
     assert rows(got, "id", "state") == want
     assert set(got.columns) == {*points.columns, "state"}
 
@@ -316,6 +317,36 @@ def test_locate_points_does_not_move_the_points(map_and_points):
     assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
 
 
+def test_level_edge_inside_a_cell(spark):
+    """A border along a parallel in the middle of cells, far from any other edge."""
+    wide = spark.createDataFrame([("w", 0.3, 5.5, 0.0, 90.0)], "n string, s double, t double, w double, e double")
+    spots = [(0.2, 40.0), (0.3, 40.0), (0.9, 40.0), (5.4, 40.0), (5.5, 40.0), (5.6, 40.0)]
+    pts = spark.createDataFrame(spots, "latitude double, longitude double")
+    for cell in (1.0, 8.0):
+        got = locate_points(pts, box_regions(wide, "n", "s", "t", "w", "e"), cell=cell).collect()
+        assert {(r.latitude, r.state) for r in got} == {(0.2, None), (0.3, "w"), (0.9, "w"), (5.4, "w"), (5.5, None), (5.6, None)}
+
+
+def test_points_move_once_and_cells_follow_the_edges(spark, without_adaptive):
+    """A continent of four edges, a coast of 4000 in a corner of it: few large cells, small ones at the coast only."""
+    coast = [(5 + 0.01 * math.sin(i / 300), 5 + 0.01 * math.cos(i / 300)) for i in range(1885)]
+    parts = [("Land", [(-60.0, -120.0), (-60.0, 120.0), (60.0, 120.0), (60.0, -120.0)]), ("Isle", coast)]
+    regions = spark.createDataFrame(parts, "state string, ring array<struct<lat:double,lon:double>>")
+    leaves, cut = quadtree(regions, CELL_DEGREES, 32, 14)
+    assert len(cut) > 5 and all(c.count() < 200 for c in cut)
+    assert leaves.count() < 3000 and max(len(c.edges) for r in leaves.collect() for c in r["__candidates"]) < 150
+    rnd = random.Random(3)
+    spots = [(5 + rnd.uniform(-0.02, 0.02), 5 + rnd.uniform(-0.02, 0.02)) for _ in range(400)] + [(70.0, 0.0), (1.0, 1.0)]
+    points = spark.createDataFrame(spots, "latitude double, longitude double")
+    for bound in (10**9, 300):
+        located = locate_points(points, regions, broadcast_cells=bound)
+        got = {(r.latitude, r.longitude): r.state for r in located.collect()}
+        assert got == {p: min((n for n, ring in parts if _inside(*p, ring)), default=None) for p in spots}
+    plan = nodes(located)
+    # the points' side: one exchange, no join with the points themselves
+    assert plan.count("Exchange hashpartitioning(__cell") == 2 and plan.count("SortMergeJoin") == 1
+
+
 def test_box_borders_are_half_open(spark):
     boxes = spark.createDataFrame([("w", 0, 1, 0, 1), ("e", 0, 1, 1, 2)], "n string, s int, t int, w int, e int")
     pts = spark.createDataFrame([(0.0, 0.0), (0.5, 1.0), (1.0, 0.5), (0.5, 2.0)], "latitude double, longitude double")
