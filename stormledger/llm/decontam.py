@@ -27,7 +27,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -110,13 +110,17 @@ def embed(form: np.ndarray, at: np.ndarray, forward: np.ndarray) -> np.ndarray:
     order = np.argsort(forward, kind="stable")
     backward = len(at) - int(forward.sum())
     out = np.empty((WALKS * STEPS, len(at)), np.uint8)
-    for lo, hi, way in ((0, backward, -1), (backward, len(at), 1)):
+    for lo, hi, move in ((0, backward, np.subtract), (backward, len(at), np.add)):
+        if lo == hi:
+            continue
+        step = np.empty(hi - lo, np.uint8)
         for w in range(WALKS):
             here = at[order[lo:hi]]
             for j in range(STEPS):
                 byte = out[w * STEPS + j, lo:hi]
-                np.take(form, here, out=byte, mode="clip")
-                here += (WALK[w, j].astype(np.int64) * way).take(byte)
+                form.take(here, out=byte, mode="clip")
+                WALK[w, j].take(byte, out=step, mode="clip")
+                move(here, step, out=here)
     rows = np.empty((len(at), WALKS * STEPS), np.uint8)
     rows[order] = out.T
     return rows
@@ -316,6 +320,11 @@ def pieces(text: bytes, size: int) -> np.ndarray:
     return out
 
 
+@lru_cache(1 << 12)
+def pieces_of_item(pattern: bytes, size: int) -> np.ndarray:
+    return pieces(pattern, size)
+
+
 def may_match(pattern: bytes, window: bytes, most: int) -> bool:
     """False if too few pieces of three or four bytes stand within ``most`` places of their own: an edit spoils as many pieces.
 
@@ -325,8 +334,8 @@ def may_match(pattern: bytes, window: bytes, most: int) -> bool:
         return False  # it lies outside the text
     near = 2 * most + 1
     rows = max(1, (1 << 22) // near)
-    for size in (3, 4):
-        p, t = pieces(pattern, size), pieces(window, size)
+    for size in (4, 3):
+        p, t = pieces_of_item(pattern, size), pieces(window, size)
         found = 0
         for r in range(0, len(p), rows):
             own = p[r : r + rows, None]
