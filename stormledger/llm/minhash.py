@@ -38,6 +38,7 @@ ROWS = 6
 WORDS = 5
 PERCENT = 80
 BLOCK = 1024
+SLICE_BYTES = 2 << 20
 COLUMNS = 4096
 
 LOWER = np.arange(256, dtype=np.uint64)
@@ -144,7 +145,7 @@ def sketch_table(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, bands) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             data, ends = text_bytes(batch.column(batch.schema.get_field_index("text")))
             shingle, stop = shingle_sets(data, ends, words)
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(shingle + np.uint64(5)), mix(shingle ^ constants(3, 1)))]
@@ -368,8 +369,8 @@ def by_node(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """
     keys = [F.xxhash64("text").alias("__t1"), F.xxhash64(F.lit(1), "text").alias("__t2")]
     keyed = docs.select("*", *keys).where("doc_id IS NOT NULL")
-    text = F.struct("__t1", "__t2")
-    several = keyed.groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("top")).where("low < top")
+    ends = [f(c).alias(f"{c}{i}") for c in ("__t1", "__t2") for i, f in enumerate((F.min, F.max))]
+    several = keyed.groupBy("doc_id").agg(*ends).where("__t10 < __t11 OR __t20 < __t21")
     several = stage(several.select("doc_id"), "several-texts")
     if several.isEmpty():
         return docs, None
