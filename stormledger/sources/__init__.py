@@ -1,6 +1,6 @@
 from .names import read_name_lines
 from .regions import read_regions
-from .sinks import preview, write_csv, write_json, write_partitioned, write_table
+from .sinks import in_ranges, preview, write_csv, write_json, write_partitioned, write_table
 from .states import read_states_csv, read_states_json
 from .store import expire, fork
 from .tables import read_tables, wind_scale_table
@@ -24,6 +24,7 @@ __all__ = [
     "wind_scale_table",
     "write_csv",
     "write_json",
+    "in_ranges",
     "write_partitioned",
     "write_table",
     "write_track_lines",

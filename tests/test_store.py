@@ -167,3 +167,12 @@ def test_staging_areas_are_nested(spark):
         discard(outer)
         assert staged(spark) == before
     assert staged(spark) == before
+
+
+def test_names_are_written_by_every_core_in_their_order(spark):
+    from stormledger.sources import in_ranges
+
+    names = spark.range(0, 400, 1, 1).select((F.col("id") + 1).alias("name_id"), (F.col("id") % 50).alias("birth_year"))
+    placed = in_ranges(names, "name_id")
+    assert placed.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+    assert [r.name_id for r in placed.collect()] == list(range(1, 401))
