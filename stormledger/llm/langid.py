@@ -41,6 +41,8 @@ OTHER = 63
 ORDERS = (1, 2, 3)
 UNDETERMINED = "und"
 BLOCK = 256
+# Dense features of a block take rows x landmark grams floats; beyond this many bytes a block is scored in fewer rows at once.
+FEATURE_BYTES = 32 << 20
 LONG = 1 << 20
 
 
@@ -189,8 +191,14 @@ def predict(texts: list[str | None], model: Model | None, flags: list[np.ndarray
     names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     if model is None:
         return names, scores, np.zeros(len(texts))
-    x, lettered, familiar = features(texts, model.classes, model.columns, flags)
-    margins = (x @ model.weights + model.bias).astype(np.float64)
+    rows, parts = feature_rows(model), []
+    for at in range(0, max(1, len(texts)), rows):
+        x, has, known = features(texts[at : at + rows], model.classes, model.columns, flags)
+        parts.append(((x @ model.weights + model.bias).astype(np.float64), has, known))
+        del x
+    margins = np.vstack([p[0] for p in parts])
+    lettered = np.concatenate([p[1] for p in parts])
+    familiar = np.concatenate([p[2] for p in parts])
     best = margins.argmax(axis=1)
     top = 1 / np.exp(SHARPNESS * (margins - margins.max(axis=1, keepdims=True))).sum(axis=1)
     for i, t in enumerate(texts):
@@ -199,6 +207,14 @@ def predict(texts: list[str | None], model: Model | None, flags: list[np.ndarray
     return names, scores, familiar
 
 
+def feature_rows(model: Model) -> int:
+    """Rows scored at once: the whole block while its dense features fit ``FEATURE_BYTES``, else a multiple of 32 rows."""
+    width = max(1, int(model.weights.shape[0]))
+    if BLOCK * width * 4 <= FEATURE_BYTES:
+        return BLOCK
+    return max(32, FEATURE_BYTES // (4 * width) // 32 * 32)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     for whole in slices(batches, column):
         for at in range(0, whole.num_rows, BLOCK):

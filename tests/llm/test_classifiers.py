@@ -64,6 +64,26 @@ def test_language_of_a_long_text_is_that_of_all_of_it(docs_of):
     assert flags[1][b << 6 | c] and flags[1][c << 6 | d] and flags[2][a << 12 | b << 6 | c]
 
 
+def test_language_scoring_of_a_block_is_bounded_in_memory():
+    """A model over all grams scores a block of texts in a bounded share of its dense features, with the same results."""
+    import tracemalloc
+
+    classes = langid.letter_classes(["abcdefg"])
+    columns = [np.arange(1 << (langid.BITS * n)) for n in langid.ORDERS]
+    width = sum(map(len, columns))
+    weights = np.random.default_rng(3).normal(size=(width, 2)).astype(np.float32)
+    model = langid.Model(["de", "en"], classes, columns, weights, np.zeros(2, np.float32), 0.0)
+    texts = ["abcdefg gfedcba"[i % 7 :] for i in range(langid.BLOCK)] + [None, ""]
+    tracemalloc.start()
+    names, scores, _ = langid.predict(texts, model, langid.new_flags())
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 64 << 20 < langid.BLOCK * width * 4
+    x, _, _ = langid.features(texts[:1], classes, columns, langid.new_flags())
+    margins = (x @ weights).astype(np.float64)[0]
+    assert names[0] == ["de", "en"][int(margins.argmax())] and names[-2:] == ["und", "und"]
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(1)
     e, model = rng.normal(size=5), quality.Model(np.zeros(1), 1.3, 0.4)
