@@ -1,6 +1,7 @@
 """Each operator against brute force, with its bounds forced both ways."""
 
 import gzip
+import json
 import math
 import os
 import random
@@ -611,6 +612,22 @@ def test_ranges_hold_about_as_many_rows(spark, without_adaptive, monkeypatch):
     assert max(sizes) < 2.2 * 500 and min(sizes) > 0
 
 
+def test_ranges_are_found_by_binary_search(spark, monkeypatch):
+    """Generated code, a few comparisons per row: no lambda walks the list of cuts. Many ranges are dealt over many tasks."""
+    rnd = random.Random(5)
+    data = [(rnd.choice([None, "", "10", "9", "a"]), rnd.choice([None, *range(40)])) for _ in range(600)]
+    df = spark.createDataFrame(data, "k string, v int")
+    monkeypatch.setattr(row_ids, "RANGE_ROWS", 20)
+    numbered = global_row_id(df, ["k", "v"], "id", costly=True)
+    assert "lambda" not in nodes(numbered) and numbered.rdd.getNumPartitions() == 30
+    low = lambda t: ((t[0] is not None, t[0] or ""), (t[1] is not None, t[1] or 0))
+    for n in (0, 1, 2, 3, 36, 64):
+        cuts = sorted(set(rnd.sample(data, n)), key=low)
+        literal = F.from_json(F.lit(json.dumps([{"k": k, "v": v} for k, v in cuts])), "array<struct<k: string, v: int>>")
+        for r in row_ids.with_range(df, F.struct("k", "v"), literal, len(cuts)).collect():
+            assert r["__part"] == sum(low(c) <= low((r.k, r.v)) for c in cuts)
+
+
 def _staged(spark):
     folder = f"{scratch_folder(spark)}/stormledger"
     return set(os.listdir(folder)) if os.path.isdir(folder) else set()
